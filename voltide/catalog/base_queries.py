@@ -339,9 +339,9 @@ def _(spark, d):
     return tidy(quality.class_balance(splits.temporal_split(clean_table(spark, d))))
 
 
-@query("q15_flagged_events", f"WITH {FLAG_CANDLE} SELECT series_id, date, {r('close', 'close')} FROM candle WHERE pat_doji = 1")
+@query("q15_flagged_events", f"WITH {FLAG_CANDLE} SELECT series_id, date, {r("close", "close", 8)} FROM candle WHERE pat_doji = 1")
 def _(spark, d):
-    return tidy(quality.flagged_events(candles.single_bar_patterns(flag_bars(spark, d)), "pat_doji"))
+    return tidy(quality.flagged_events(candles.single_bar_patterns(flag_bars(spark, d)), "pat_doji"), 8)
 
 
 @query("q15_row_slice", f"WITH {FLAG_CANDLE} SELECT series_id, date, row_idx, {r('close', 'close')} FROM candle WHERE row_idx >= 100 AND row_idx < 130")
