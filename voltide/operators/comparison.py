@@ -233,8 +233,7 @@ def resamples(wide: DataFrame, columns: Sequence[str], n_boot: int, seed: int, m
     rows = numbered_rows(wide)
     reps = F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep")
     if method == "poisson":
-        copies = rows.select("idx", *columns, reps)
-        u = hash_uniform("rep", "idx", seed)
+        copies = rows.select("idx", *columns, reps).withColumn("_u", hash_uniform("rep", "idx", seed))
         # Cumulative Poisson(1) probabilities; a count above 6 has p < 1e-5
         # and is resolved further by the tail terms up to 12.
         edges, total, term = [], 0.0, 2.718281828459045**-1
@@ -242,9 +241,7 @@ def resamples(wide: DataFrame, columns: Sequence[str], n_boot: int, seed: int, m
             total += term
             edges.append(total)
             term /= k + 1
-        count: Column = F.lit(0)
-        for edge in edges:
-            count = count + (u >= F.lit(edge)).cast("int")
+        count = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: F.col("_u") >= e))
         return copies.withColumn("_c", count).where(F.col("_c") > 0).withColumn(
             "_c", F.explode(F.sequence(F.lit(1), F.col("_c")))
         )

@@ -102,3 +102,68 @@ def exact_quantiles(
             for n in quantiles
         ],
     )
+
+
+# Up to this many rows the built-in exact aggregate is used.
+SMALL = 20_000
+SLACK = 0.0005
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
+    """Exact quantiles of many columns: ``(column, <name> ...)``.
+
+    A sketch of all columns (one row, read by the driver) gives a bracket that
+    is certain to hold each quantile; only values inside the brackets are
+    counted and ordered, so almost nothing of a large table is shuffled.
+    """
+    columns, names = list(columns), list(quantiles)
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    shares = [s for q in quantiles.values() for s in (max(q - SLACK, 0.0), min(q + SLACK, 1.0))]
+    sketch = typed.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.percentile_approx(c, shares, 10_000).alias(f"_s{i}") for i, c in enumerate(columns)]
+    ).first()
+    if sketch["_rows"] <= SMALL:
+        # Few enough values for the exact aggregate of one task.
+        exact = [
+            F.struct(F.lit(c).alias("column"), *[F.percentile(c, q).alias(n) for n, q in quantiles.items()]).alias(f"_q{i}")
+            for i, c in enumerate(columns)
+        ]
+        row = typed.agg(*exact)
+        return row.select(F.inline(F.array(*[F.col(f"_q{i}") for i in range(len(columns))])))
+
+    def bracket(i: int, k: int) -> tuple[float, float]:
+        cuts = sketch[f"_s{i}"] or [0.0] * len(shares)
+        return cuts[2 * k], cuts[2 * k + 1]
+
+    limits = [(c, *[x for k in range(len(names)) for x in bracket(i, k)]) for i, c in enumerate(columns)]
+    schema = ", ".join(["column string", *[f"_lo{k} double, _hi{k} double" for k in range(len(names))]])
+    table = F.broadcast(df.sparkSession.createDataFrame(limits, schema))
+    long = typed.unpivot([], columns, "column", "v").where(F.col("v").isNotNull()).join(table, "column")
+    inside: Column = F.lit(False)
+    for k in range(len(names)):
+        inside = inside | F.col("v").between(F.col(f"_lo{k}"), F.col(f"_hi{k}"))
+    counted = long.where(inside).groupBy("column", "v").agg(F.count(F.lit(1)).alias("_n"))
+    running = running_totals(counted, ["column"], "v", ["_n"])
+    # Rows below a kept value = kept rows below it + dropped rows below its
+    # bracket.
+    totals = long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.count_if((F.col("v") < F.col(f"_lo{k}")) & ~inside).alias(f"_dropped{k}") for k in range(len(names))],
+    )
+    joined = running.join(F.broadcast(totals), "column")
+    picks = []
+    for k, (name, q) in enumerate(quantiles.items()):
+        place = (F.col("_total") - F.lit(1)) * F.lit(float(q))
+        for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            local = rank - F.col(f"_dropped{k}")
+            covers = (F.col("cum__n") > local) & (F.col("cum__n") - F.col("_n") <= local)
+            picks.append(F.max(F.when(covers, F.col("v"))).alias(f"_{name}_{side}"))
+        picks.append(F.max(place - F.floor(place)).alias(f"_{name}_part"))
+    found = joined.groupBy("column").agg(*picks)
+    return found.select(
+        "column",
+        *[
+            (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_part")).alias(n)
+            for n in names
+        ],
+    )
