@@ -11,11 +11,31 @@ from pyspark.sql import types as T
 from voltide.operators.baselines import walk_forward_predictions
 from voltide.operators.features import FEATURES, build_features
 from voltide.operators.targets import features_and_targets
-from voltide.session import materialize
+from voltide.session import scratch_path
 from voltide.sources.ticks import event_bars, flag_bars, supplier_bars
 
 DIGITS = 6
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def once(name: str):
+    """Write a shared input the first time a session asks for it; later
+    queries of the session scan the written table."""
+
+    def wrap(build):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, sf_dir, name)
+            if key not in _WRITTEN:
+                path = scratch_path(spark, name)
+                build(spark, sf_dir).write.parquet(path)
+                _WRITTEN[key] = path
+            return spark.read.parquet(_WRITTEN[key])
+
+        return run
+
+    return wrap
+
 
 def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double so that two engines agree on the last digits."""
@@ -121,13 +141,14 @@ feat AS (
 KNOWN = " AND ".join(f"{c} IS NOT NULL" for c in FEATURES)
 
 
+@once("clean")
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with all features and the main target: the modelling table,
     written once because several steps read it."""
     table = features_and_targets(flag_bars(spark, sf_dir))
     keep = ["series_id", "date", "log_ret", "vol_7", "vol_14", "vol_21", "vol_28", *FEATURES]
     keep += ["target_vol_7", "target_vol_14", "target_vol_21", "target_class"]
-    return materialize(table.dropna(subset=[*FEATURES, "target_vol_7"]).select(*keep))
+    return table.dropna(subset=[*FEATURES, "target_vol_7"]).select(*keep)
 
 
 CLEAN = f"""{features_sql()},
@@ -154,9 +175,10 @@ vol AS (
   FROM vol0 WHERE vol_7 IS NOT NULL)"""
 
 
+@once("predictions")
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Walk-forward forecasts of 7-day volatility by three baselines."""
-    return materialize(walk_forward_predictions(volatility(spark, sf_dir), "vol_7", horizon=7))
+    return walk_forward_predictions(volatility(spark, sf_dir), "vol_7", horizon=7)
 
 
 BASELINES = ("EWMA", "Naive", "Rolling Mean")
@@ -179,6 +201,7 @@ preds AS (
 SCORERS = ("range", "rsi", "term")
 
 
+@once("scores")
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three simple scores for 'volatility rises', with ties by rounding."""
     table = features_and_targets(flag_bars(spark, sf_dir)).where(
@@ -194,7 +217,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "series_id", "date", F.col("target_class").alias("y_true"), *[F.round(c, 2).alias(n) for n, c in made.items()]
     )
     long = rows.unpivot(["series_id", "date", "y_true"], list(SCORERS), "model", "y_score")
-    return materialize(long.withColumn("y_class", (F.col("y_score") >= 0.5).cast("int")))
+    return long.withColumn("y_class", (F.col("y_score") >= 0.5).cast("int"))
 
 
 SCORES = f"""{features_sql()},

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.classification import (
@@ -43,7 +44,7 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         import numpy as np
-        import pandas as pd
+
 
         size, gamma, seed = (self.getOrDefault(p) for p in ("size", "gamma", "seed"))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ NEIGHBOURS = 11
 
 def _with_pivots(df: DataFrame, pivots: list[list[float]]) -> DataFrame:
     import numpy as np
-    import pandas as pd
+
 
     base = np.asarray(pivots, dtype=float)
 
@@ -45,7 +46,7 @@ def _with_pivots(df: DataFrame, pivots: list[list[float]]) -> DataFrame:
 def _tile_top_k(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
     """Best ``k`` training rows per query inside the cells it was sent to."""
     import numpy as np
-    import pandas as pd
+
 
     def tiles(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(TILE))).cast("int").alias(name))
