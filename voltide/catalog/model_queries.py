@@ -226,7 +226,10 @@ def _(spark, d):
 
 @query("r5_adasyn")
 def _(spark, d):
-    return balance.adasyn(_ready(spark, d), X)
+    columns = [c for c in X if c != "rsi_14"]
+    history, _ = parts(spark, d)
+    rare = history.withColumn("overbought", (F.col("rsi_14") > 65).cast("int"))
+    return balance.adasyn(prep.apply_prep(rare, prep.fit_prep(rare, columns)), columns, "overbought")
 
 
 @query("r8_balancing_comparison")

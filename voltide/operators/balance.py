@@ -93,6 +93,8 @@ def adasyn(train: DataFrame, features: Sequence[str], label: str = "target_class
     if total == 0.0 or many == few:
         raise BalancingError("ADASYN would not create any rows for this class ratio")
     quota = F.round(F.col("_r") / F.lit(total) * F.lit(float(many - few))).cast("int")
+    if not hard.agg(F.sum(quota)).first()[0]:
+        raise BalancingError("ADASYN would not create any rows for this class ratio")
     draws = (
         hard.withColumn("_g", quota)
         .where(F.col("_g") > 0)

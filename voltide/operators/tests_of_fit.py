@@ -12,6 +12,7 @@ from voltide.functions.scalars import chi2_tail, chi2_tail_even, normal_quantile
 from voltide.plans.gram import gram_table, least_squares
 from voltide.plans.layout import block_window, blocked, with_row_index, without_halo
 from voltide.plans.ranking import running_totals
+from voltide.session import materialize
 
 KEYS = ("series_id", "model")
 
@@ -218,6 +219,9 @@ def residual_diagnostics(
     lb = ljung_box(preds, lags, keys).select(*keys, F.col("p_value").alias("p_ljung_box"))
     wh = white(preds, features, columns, keys).select(*keys, F.col("p_value").alias("p_white"))
     bd = bds(preds, 2, keys=keys).where(F.col("dim") == 2).select(*keys, F.col("p_value").alias("p_bds_dim2"))
+    # One row per group each: written, so that the four tests run one by one
+    # instead of as one plan with several Python stages.
+    wh, bd, lb = (materialize(t, "diagnostics") for t in (wh, bd, lb))
     out = basic.join(jb, keys).join(lb, keys).join(wh, keys, "left").join(bd, keys, "left")
     tests = ("white", "bds_dim2", "ljung_box", "jarque_bera")
     return out.withColumns({f"stars_{t}": significance_stars(F.col(f"p_{t}")) for t in tests})

@@ -15,27 +15,20 @@ from pyspark.sql import functions as F
 def gram_table(df: DataFrame, x: Sequence[str], y: str, keys: Sequence[str], weight: str | None = None) -> DataFrame:
     """``n``, ``yy``, ``y_sum``, ``w_sum``, ``xy`` (array) and the upper
     triangle ``xx`` (array) per group."""
-    w = F.lit(1.0) if weight is None else F.col(weight)
+    w = f"`{weight}` * " if weight else ""
     rows = df.dropna(subset=[*x, y])
-    upper = [F.sum(w * F.col(a) * F.col(b)).alias(f"_xx_{i}_{j}") for i, a in enumerate(x) for j, b in enumerate(x) if i <= j]
-    cross = [F.sum(w * F.col(a) * F.col(y)).alias(f"_xy_{i}") for i, a in enumerate(x)]
-    sums = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(w).alias("w_sum"),
-        F.sum(w * F.col(y)).alias("y_sum"),
-        F.sum(w * F.col(y) * F.col(y)).alias("yy"),
-        *cross,
-        *upper,
-    )
     m = len(x)
-    return sums.select(
-        *keys,
-        "n",
-        "w_sum",
-        "y_sum",
-        "yy",
-        F.array(*[F.col(f"_xy_{i}") for i in range(m)]).alias("xy"),
-        F.array(*[F.col(f"_xx_{i}_{j}") for i in range(m) for j in range(m) if i <= j]).alias("xx"),
+    upper = [(i, j) for i in range(m) for j in range(i, m)]
+    # SQL text keeps building some hundred sums cheap on the driver.
+    sums = [f"sum({w}`{c}` * `{y}`) AS _xy_{i}" for i, c in enumerate(x)]
+    sums += [f"sum({w}`{x[i]}` * `{x[j]}`) AS _xx_{i}_{j}" for i, j in upper]
+    sums += [f"sum({w}`{y}`) AS y_sum", f"sum({w}`{y}` * `{y}`) AS yy", f"sum({w}1.0D) AS w_sum", "count(1) AS n"]
+    xy = ", ".join(f"_xy_{i}" for i in range(m))
+    xx = ", ".join(f"_xx_{i}_{j}" for i, j in upper)
+    return (
+        rows.groupBy(*keys)
+        .agg(*[F.expr(t) for t in sums])
+        .selectExpr(*keys, "n", "w_sum", "y_sum", "yy", f"array({xy}) AS xy", f"array({xx}) AS xx")
     )
 
 
