@@ -233,18 +233,22 @@ def resamples(wide: DataFrame, columns: Sequence[str], n_boot: int, seed: int, m
     rows = numbered_rows(wide)
     reps = F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep")
     if method == "poisson":
-        copies = rows.select("idx", *columns, reps).withColumn("_u", hash_uniform("rep", "idx", seed))
-        # Cumulative Poisson(1) probabilities; a count above 6 has p < 1e-5
-        # and is resolved further by the tail terms up to 12.
+        # Cumulative Poisson(1) probabilities; the tail above 12 is below 1e-10.
         edges, total, term = [], 0.0, 2.718281828459045**-1
         for k in range(12):
             total += term
             edges.append(total)
             term /= k + 1
-        count = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: F.col("_u") >= e))
-        return copies.withColumn("_c", count).where(F.col("_c") > 0).withColumn(
-            "_c", F.explode(F.sequence(F.lit(1), F.col("_c")))
+        steps = F.array(*[F.lit(e) for e in edges])
+        # Binding the draw as a lambda variable evaluates its hash once a row.
+        count = F.get(
+            F.transform(
+                F.array(hash_uniform("rep", "idx", seed)), lambda u: F.size(F.filter(steps, lambda e: u >= e))
+            ),
+            0,
         )
+        copies = rows.select("idx", *columns, reps)
+        return copies.withColumn("_c", F.explode(F.slice(F.sequence(F.lit(1), F.lit(12)), F.lit(1), count)))
     if method != "draws":
         raise ValueError("method must be 'draws' or 'poisson'")
     draws = rows.select(F.col("idx").alias("i"), "total", reps)
