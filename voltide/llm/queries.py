@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination
+from voltide.llm import decontamination, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,3 +55,55 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.match_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_items = F.size("items").cast("long").alias("n_items")
     return found.select("doc_id", "n_words", "n_hit", n_items, F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+
+def _common_words_sql() -> str:
+    rows = [f"('{x}', {k}, '{w}')" for x, words in quality_rules.COMMON_WORDS.items() for k, w in enumerate(words)]
+    return f"(VALUES {', '.join(rows)}) AS v(ref, bin, word)"
+
+
+def _quality_sql() -> str:
+    q = quality_rules
+    classes = ", ".join(rf"len(regexp_extract_all(t, '[{c}]')) n_{k}" for k, c in q.CLASSES.items())
+    names = [f"n_{k}" for k in q.CLASSES]
+    return rf"""
+    WITH common AS MATERIALIZED (SELECT * FROM {_common_words_sql()}),
+    doc AS (SELECT doc_id, coalesce(lang, '') lang, coalesce(text, '') t, {_WORDS.format("coalesce(text, '')")} w FROM documents),
+    runs AS (SELECT doc_id, i, list_slice(w, i, i + 7) win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) i FROM doc WHERE len(w) >= 8)),
+    again AS (SELECT doc_id, win FROM runs GROUP BY doc_id, win HAVING count(*) > 1),
+    covered AS (SELECT doc_id, count(*) n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) k FROM runs JOIN again USING (doc_id, win)) GROUP BY doc_id),
+    lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) x FROM doc),
+    base AS (SELECT doc_id, lang, w, len(w) n_words, length(array_to_string(w, '')) word_chars, {classes}, length(t) n_chars,
+        coalesce(n, 0) n_repeat_words, len(x) - len(list_distinct(x)) n_dup_lines
+      FROM doc JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    judged AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words base_failed FROM base),
+    shares AS (SELECT doc_id, k bin, list_extract([n_chars - word_chars, {", ".join(names)}, word_chars - {" - ".join(names)}], k) / greatest(n_chars, 1) p
+      FROM judged, range(1, {len(names) + 3}) r(k) WHERE n_words >= {q.GUARD_WORDS} AND NOT base_failed),
+    pairs AS (SELECT doc_id, n_words, w, ref, lang = ref AS own FROM judged, (SELECT DISTINCT ref FROM common)
+      WHERE n_words >= {q.GUARD_WORDS} AND NOT base_failed AND (lang = ref OR lang NOT IN (SELECT ref FROM common))),
+    seen AS (SELECT doc_id, lower(x) word, count(*) n FROM (SELECT doc_id, unnest(w) x FROM judged) GROUP BY ALL),
+    listed AS (SELECT doc_id, ref, own, bin, coalesce(n, 0) / n_words p FROM pairs JOIN common USING (ref) LEFT JOIN seen USING (doc_id, word)),
+    word_shares AS (SELECT * FROM listed UNION ALL SELECT doc_id, ref, own, 99, 1 - sum(p) FROM listed GROUP BY doc_id, ref, own),
+    class_refs AS (SELECT lang ref, bin, avg(p) q FROM shares JOIN judged USING (doc_id) WHERE lang IN (SELECT ref FROM common) GROUP BY ALL),
+    word_refs AS (SELECT ref, bin, avg(p) q FROM word_shares WHERE own GROUP BY ALL),
+    class_terms AS (SELECT doc_id, ref, p, q FROM pairs JOIN shares USING (doc_id) JOIN class_refs USING (ref, bin)),
+    word_terms AS (SELECT doc_id, ref, p, q FROM word_shares JOIN word_refs USING (ref, bin)),
+    class_far AS (SELECT doc_id, min(d) class_d FROM (SELECT doc_id, ref, {{js}} d FROM class_terms GROUP BY ALL) GROUP BY doc_id),
+    word_far AS (SELECT doc_id, min(d) word_d FROM (SELECT doc_id, ref, {{js}} d FROM word_terms GROUP BY ALL) GROUP BY doc_id)
+    SELECT doc_id, n_words, word_chars, n_symbol n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      NOT base_failed AND NOT coalesce(class_d > {q.MAX_CLASS_DISTANCE} OR word_d > {q.MAX_WORD_DISTANCE}, false) kept
+    FROM judged LEFT JOIN class_far USING (doc_id) LEFT JOIN word_far USING (doc_id)
+    """.replace(
+        "{js}",
+        "sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))",
+    )
+
+
+@query("op4_quality_rules", _quality_sql())
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
