@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination, quality_rules
+from voltide.llm import decontamination, jaccard_join, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -107,3 +107,21 @@ def _quality_sql() -> str:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query(
+    "op9_jaccard_join",
+    rf"""
+    WITH RECURSIVE doc AS (SELECT doc_id, {_WORDS.format(lower_ascii("coalesce(text, '')"))} w FROM documents),
+    sets AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 2) s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) i FROM doc)),
+    sizes AS (SELECT doc_id, count(*) n FROM sets GROUP BY doc_id),
+    common AS (SELECT a.doc_id x, b.doc_id y, count(*) n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common.n >= 90 * (p.n + q.n - common.n)),
+    pairs AS (SELECT x u, y v FROM links UNION ALL SELECT y, x FROM links),
+    reach AS (SELECT doc_id u, doc_id v FROM doc UNION SELECT reach.u, pairs.v FROM reach JOIN pairs ON reach.v = pairs.u)
+    SELECT doc_id, coalesce(n, 0) n_shingles, component_id
+    FROM doc LEFT JOIN sizes USING (doc_id) JOIN (SELECT u doc_id, min(v) component_id FROM reach GROUP BY u) USING (doc_id)
+    """,
+)
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
