@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination, jaccard_join, quality_rules, secrets
+from voltide.llm import decontamination, jaccard_join, quality_rules, secrets, sentencepiece_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -136,3 +136,14 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encode_documents(table(spark, sf_dir, "documents"), piece_model())
