@@ -80,7 +80,8 @@ class Bands:
         """Number of segments, of segments beyond the largest difference, and
         the bounds of the segments in the hash range."""
         if band not in self.parts:
-            self.band(self.low[-1]) if band + 1 >= len(self.low) else None
+            while band + 1 >= len(self.low):
+                self.band(self.low[-1])
             most = (self.low[band + 1] - 1) * (100 - self.percent) // self.percent
             spare = 0 if most == 0 else 2 + most // 32
             n = most + 1 + spare
@@ -243,3 +244,13 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     out = rows.join(found, rows["rep"] == found["node"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row left of each component:
+    the one with its least id. Texts without a word stay; of rows that share an
+    id one stays; rows with a null id, which name no document, all stay."""
+    found = similarity_classes(docs, id_col, text_col, **options)
+    least = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    one = docs.join(least, id_col, "left_semi").dropDuplicates([id_col])
+    return one.unionByName(docs.where(F.col(id_col).isNull()))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination, jaccard_join, quality_rules, secrets, sentencepiece_bpe
+from voltide.llm import decontamination, jaccard_join, quality_rules, secrets, sentencepiece_bpe, warc
+from voltide.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -147,3 +148,26 @@ def piece_model() -> str:
 @query("op8_sentencepiece")
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_documents(table(spark, sf_dir, "documents"), piece_model())
+
+
+_BASE32 = """
+    array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST(list_reduce(list_transform(range(5 * k, 5 * k + 5), lambda b:
+        (CAST(instr('0123456789abcdef', substr(h, 1 + b // 4, 1)) - 1 AS BIGINT) >> (3 - b % 4)) & 1), lambda x, y: 2 * x + y) AS BIGINT), 1)), '')
+"""
+
+
+@query(
+    "op6_warc",
+    f"""
+    WITH page AS (SELECT page_id, sha1(coalesce(html, '')) h, strlen(coalesce(html, '')) payload_bytes FROM pages),
+    origin AS (SELECT h, payload_bytes, max(page_id) origin FROM page GROUP BY ALL)
+    SELECT page_id, payload_bytes, {_BASE32} payload_digest,
+      CASE WHEN page_id = origin THEN 'response' ELSE 'revisit' END record_type, CASE WHEN page_id <> origin THEN origin END refers_to
+    FROM page JOIN origin USING (h, payload_bytes)
+    """,
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.archive_index(spark, path)
