@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination, jaccard_join, quality_rules, secrets, sentencepiece_bpe, warc
+from voltide.llm import decontamination, jaccard_join, quality_rules, quotation, secrets, sentencepiece_bpe, warc
 from voltide.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     return warc.archive_index(spark, path)
+
+
+@query("op3_quotation_linking")
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.link_quotes(table(spark, sf_dir, "conversations"))
