@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination, jaccard_join, quality_rules, quotation, secrets, sentencepiece_bpe, warc
+from voltide.llm import decontamination, jaccard_join, quality_classifier, quality_rules, quotation, secrets, sentencepiece_bpe, warc
 from voltide.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quotation_linking")
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotation.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score_documents(docs, quality_classifier.fit_quality(docs, table(spark, sf_dir, "labels")))
