@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination, jaccard_join, pii, quality_classifier, quality_rules, quotation, secrets, sentencepiece_bpe, warc
+from voltide.llm import decontamination, jaccard_join, pii, quality_classifier, quality_rules, quotation, secrets, sentencepiece_bpe, substring_dedup, warc
 from voltide.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_kind = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     counts = [of_kind(k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
