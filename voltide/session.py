@@ -25,12 +25,15 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``; a private
-    folder is taken only when the session names none (tests, local runs)."""
+    """Use the shared folder named by ``spark.checkpoint.dir``. Only a local
+    master may do without it: a private folder is taken then. On a cluster the
+    executors would not see such a folder, so its absence raises."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="voltide-ckpt-"))
 
 
@@ -46,3 +49,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned, once nothing reads them
+    any more. Anything outside the shared scratch folder is left alone."""
+    for table in tables:
+        spark = table.sparkSession
+        root = spark.sparkContext.getCheckpointDir()
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        home = jvm.org.apache.hadoop.fs.Path(root).toUri().getPath()
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getParent().toUri().getPath() == home:
+                path.getFileSystem(conf).delete(path, True)
