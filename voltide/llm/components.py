@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltide.session import materialize
+from voltide.session import discard, materialize
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
         least = _least(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).where("u <> v")
-        e = materialize(small.distinct(), "small-star")
+        before, e = e, materialize(small.distinct(), "small-star")
+        discard(before, large)
         now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
         if now == state:
             break

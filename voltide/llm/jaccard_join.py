@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from voltide.llm.components import connected_components
 from voltide.llm.text import NOT_BLANK, U64, column_bytes, mix, row_ranges, shingle_hashes, word_hashes, word_spans
-from voltide.session import materialize
+from voltide.session import discard, materialize
 
 BITS = 512
 BAND_RATIO = 1.5
@@ -133,11 +133,13 @@ def tiles_of(sketches: DataFrame) -> DataFrame:
     """``tile``, ``id``, ``n_members``: the tiles with two members or more; of
     tiles with the same members only one."""
     keys = sketches.where(F.col("keys").isNotNull() & F.col("id").isNotNull()).select(F.explode("keys").alias("tile"), "id")
-    shared = keys.groupBy("tile").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("tile")
+    shared = keys.groupBy("tile").agg(F.count("*").alias("n")).where("n > 1").select("tile")
     members = materialize(keys.join(shared, "tile").distinct(), "tile-members")
     same = members.groupBy("tile").agg(F.count("*").alias("n_members"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("g"))
-    once = same.groupBy("n_members", "h", "g").agg(F.min("tile").alias("tile")).select("tile", "n_members")
-    return members.join(once, "tile")
+    once = same.where("n_members > 1").groupBy("n_members", "h", "g").agg(F.min("tile").alias("tile")).select("tile", "n_members")
+    tiles = materialize(members.join(once, "tile"), "tiles")
+    discard(members)
+    return tiles
 
 
 def candidates(tiles: DataFrame, sketches: DataFrame, percent: int, forest: bool) -> DataFrame:
@@ -222,7 +224,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = materialize(sketches.select("id", "n", "digest").join(first, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "set-rows")
     rep = rows.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("rep").alias("rep"))
 
-    tiles = materialize(tiles_of(sketches), "tiles")
+    tiles = tiles_of(sketches)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(tiles.select("id").distinct(), "id", "left_semi")
     texts = materialize(texts.groupBy("id").agg(F.max("text").alias("text")), "tile-texts")
 
@@ -241,6 +243,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rest = candidates(labelled.join(open_tiles, "tile", "left_semi"), sketches, percent, False).join(tried, ["x", "y"], "left_anti")
     more = materialize(by_rep(linked(rest, texts, shingle, percent)), "more-links")
     found = connected_components(links.union(more))
+    discard(sketches, tiles, texts, tried, labelled, links, more)
 
     out = rows.join(found, rows["rep"] == found["node"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

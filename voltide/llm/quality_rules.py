@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltide.session import materialize
+from voltide.session import discard, materialize
 
 # Frequent function words of each language.
 COMMON_WORDS = {
@@ -165,6 +165,13 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns, that the rules keep."""
+    """The rows of ``docs``, all columns, that the rules keep. Measured twice,
+    for the references and for the verdict, so that no text is written."""
     packed = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
-    return apply_rules(packed, "__row", "t", "l").where("kept").select("__row.*")
+    measured = materialize(measure(packed.withColumn("__row", F.lit(None)), "__row", "t", "l").drop("__row"), "quality-measures")
+    known = references(measured)
+    discard(measured)
+    # The row number keeps the optimizer from pushing the verdict below the
+    # measures, where it would compute them once for each time it names them.
+    judged = judge(measure(packed, "__row", "t", "l"), known).withColumn("__at", F.monotonically_increasing_id())
+    return judged.where("kept AND __at >= 0").select("__row.*")

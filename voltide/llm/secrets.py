@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltide.session import materialize
+from voltide.session import discard, materialize
 
 #: kind, pattern, group whose length counts, least length
 PATTERNS = (
@@ -209,7 +209,11 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> D
     (spans that touch or overlap by one mask); ``n_chars``, if there is such a
     column, is counted anew."""
     packed = docs.select(F.struct("*").alias("__row"), F.col(text_col).cast("string").alias("__text"))
-    found = find_secrets(packed, "__row", "__text").select("__row", "spans")
+    # Rated twice, for the thresholds and for the spans, so that no text is written.
+    rated = materialize(candidates(packed.withColumn("__row", F.lit(None)), "__row", "__text").select("candidates"), "secret-candidates")
+    accepted = thresholds(rated)
+    discard(rated)
+    found = report(candidates(packed, "__row", "__text"), accepted).select("__row", "spans")
     text = F.col(f"__row.`{text_col}`").cast("string")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
