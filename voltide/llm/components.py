@@ -9,12 +9,10 @@ from voltide.session import discard, materialize
 
 
 def _least(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-
-
-def _star(pairs: DataFrame) -> DataFrame:
-    """Each neighbour v of u points to the least of u and its neighbours."""
-    return pairs.join(_least(pairs), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    """The least of each node and its neighbours; written, so that a join with
+    it gets shuffles of its own, whose hot keys Spark can split."""
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return materialize(least, "least-neighbours")
 
 
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
@@ -29,13 +27,14 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
     state = None
     while True:
         both = e.union(e.select("v", "u"))
-        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = _least(both)
+        large = both.join(near, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.where("u <> v").distinct(), "large-star")
         least = _least(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).where("u <> v")
         before, e = e, materialize(small.distinct(), "small-star")
-        discard(before, large)
+        discard(before, near, large, least)
         now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
         if now == state:
             break

@@ -133,12 +133,13 @@ def tiles_of(sketches: DataFrame) -> DataFrame:
     """``tile``, ``id``, ``n_members``: the tiles with two members or more; of
     tiles with the same members only one."""
     keys = sketches.where(F.col("keys").isNotNull() & F.col("id").isNotNull()).select(F.explode("keys").alias("tile"), "id")
-    shared = keys.groupBy("tile").agg(F.count("*").alias("n")).where("n > 1").select("tile")
+    # Written, so that the join below gets shuffles of its own and Spark can split a hot tile.
+    shared = materialize(keys.groupBy("tile").agg(F.count("*").alias("n")).where("n > 1").select("tile"), "shared-tiles")
     members = materialize(keys.join(shared, "tile").distinct(), "tile-members")
     same = members.groupBy("tile").agg(F.count("*").alias("n_members"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("g"))
     once = same.where("n_members > 1").groupBy("n_members", "h", "g").agg(F.min("tile").alias("tile")).select("tile", "n_members")
     tiles = materialize(members.join(once, "tile"), "tiles")
-    discard(members)
+    discard(shared, members)
     return tiles
 
 
@@ -220,7 +221,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Per row: id, ``n_shingles``, ``component_id`` (the least id linked with
     it, directly or not)."""
     sketches = materialize(sketch(docs, id_col, text_col, shingle, percent), "sketches")
-    first = sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
+    first = materialize(sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "set-classes")
     rows = materialize(sketches.select("id", "n", "digest").join(first, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "set-rows")
     rep = rows.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("rep").alias("rep"))
 
@@ -243,7 +244,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rest = candidates(labelled.join(open_tiles, "tile", "left_semi"), sketches, percent, False).join(tried, ["x", "y"], "left_anti")
     more = materialize(by_rep(linked(rest, texts, shingle, percent)), "more-links")
     found = connected_components(links.union(more))
-    discard(sketches, tiles, texts, tried, labelled, links, more)
+    discard(first, sketches, tiles, texts, tried, labelled, links, more)
 
     out = rows.join(found, rows["rep"] == found["node"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
