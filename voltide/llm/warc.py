@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltide.session import discard, materialize
+
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
 RECORDS_PER_FILE = 50_000
@@ -111,8 +113,9 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     payload = F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8")
     d = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     d = d.withColumns({"sha1": F.sha1("payload"), "n": F.octet_length("payload")})
-    # Only hashes meet here, summed before the shuffle; the page side of the join can be split.
-    classes = d.where(F.col("n") >= least).groupBy("sha1", "n").agg(F.max("page_id").alias("origin"))
+    # Only hashes meet here, summed before the shuffle; the sums are written, so
+    # that the join gets shuffles of its own and Spark can split a hot payload.
+    classes = materialize(d.where(F.col("n") >= least).groupBy("sha1", "n").agg(F.max("page_id").alias("origin")), "payload-classes")
     d = d.join(classes, ["sha1", "n"], "left")
     d = d.select("page_id", "url", "payload", "origin", F.coalesce(F.col("origin") != F.coalesce("page_id", F.lit(-(1 << 63)).cast("long")), F.lit(False)).alias("revisit"))
 
@@ -127,6 +130,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
     lines = d.mapInArrow(records, "value binary").select(F.col("value").cast("string"))
     lines.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    discard(classes)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
