@@ -6,7 +6,7 @@ tiles: for the smaller set x of a linked pair the symmetric difference is at
 most |x| (100 - t) / t, so if the hash range is cut into more segments than
 that, the two sets agree on a whole segment. A tile holds the sets of a band
 (and the larger ones within reach) that agree on one segment. Inside a tile,
-parity bitmaps of 512 bits bound the overlap from above: the number of unequal
+parity bitmaps bound the overlap from above: the number of unequal
 bits never exceeds the symmetric difference. Pairs that survive are compared by
 exact intersection of the sorted sets.
 
@@ -40,7 +40,7 @@ from voltide.llm.components import connected_components
 from voltide.llm.text import NOT_BLANK, U64, column_bytes, mix, row_ranges, shingle_hashes, word_hashes, word_spans
 from voltide.session import discard, materialize
 
-BITS = 512
+MIN_BITS = 512
 BAND_RATIO = 1.5
 TILE_BLOCK = 256
 BATCH_BYTES = 8 << 20
@@ -58,11 +58,22 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def parity_bitmap(values: np.ndarray) -> bytes:
-    """Bit i tells whether an odd number of values fall on i."""
-    odd = np.bincount((values >> U64(20)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    """Bit i tells whether an odd number of values fall on i. There are at
+    least twice as many bits as values, so that unlike sets of any size differ
+    in more bits than linked ones may."""
+    bits = max(MIN_BITS, 1 << (2 * len(values) - 1).bit_length())
+    odd = np.bincount((values >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
 
+def folded(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps of several widths as rows of 64-bit words of the least width:
+    the parities of the halves add up to the parity of the narrower bitmap."""
+    least = min(map(len, bitmaps))
+    rows = [np.bitwise_xor.reduce(np.frombuffer(b, U64).reshape(-1, least // 8)) for b in bitmaps]
+    return np.stack(rows)
+
+
 class Bands:
     """Size bands and the segment keys of a set in each band it belongs to."""
 
@@ -161,10 +172,10 @@ def candidates(tiles: DataFrame, sketches: DataFrame, percent: int, forest: bool
             members = batch.column("members")
             at, flat = members.offsets.to_numpy(), members.values
             ids, comps, n = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("id", "component", "n"))
-            words = np.frombuffer(b"".join(flat.field("bitmap").to_pylist()), U64).reshape(-1, BITS // 64)
+            bitmaps = flat.field("bitmap").to_pylist()
             xs, ys = [], []
             for a, b in zip(at[:-1], at[1:], strict=True):
-                x, y = allowed(comps[a:b], n[a:b], words[a:b], percent, forest)
+                x, y = allowed(comps[a:b], n[a:b], folded(bitmaps[a:b]), percent, forest)
                 xs.append(ids[a + x])
                 ys.append(ids[a + y])
             x, y = np.concatenate(xs), np.concatenate(ys)
