@@ -72,8 +72,8 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def page_record_id(page_id: int | None, copy: str = "") -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page {page_id} {copy}')}>"
+def new_record_id() -> str:
+    return f"<urn:uuid:{uuid.uuid4()}>"
 
 
 def _record(fields: list[tuple[str, object]], block: bytes) -> bytes:
@@ -85,15 +85,15 @@ def _safe(url: str | None) -> str:
     return "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url or "urn:none")
 
 
-def page_records(page_id: int | None, url: str | None, payload: bytes, origin: int | None, revisit: bool, copy: str, segment: int) -> Iterator[bytes]:
+def page_records(page_id: int | None, url: str | None, payload: bytes, origin: int | None, revisit: bool, segment: int) -> Iterator[bytes]:
     """The WARC records of one page."""
-    own = page_record_id(page_id, copy)
+    own = new_record_id()
     common = [("WARC-Target-URI", _safe(url)), ("WARC-Date", "2020-01-01T00:00:00Z"), ("Content-Type", "application/http; msgtype=response")]
     digest = [("WARC-Payload-Digest", "sha1:" + payload_digest(payload))]
     first = [("WARC-Record-ID", own), ("Page-ID", page_id)]
     if revisit:
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        yield _record([("WARC-Type", "revisit"), *first, *common, *digest, ("WARC-Profile", profile), ("WARC-Refers-To", page_record_id(origin)), ("Refers-To-Page-ID", origin)], HTTP)
+        yield _record([("WARC-Type", "revisit"), *first, *common, *digest, ("WARC-Profile", profile), ("Refers-To-Page-ID", origin)], HTTP)
         return
     block = HTTP + chunked(payload)
     pieces = [block[k : k + segment] for k in range(0, len(block), segment)]
@@ -104,7 +104,7 @@ def page_records(page_id: int | None, url: str | None, payload: bytes, origin: i
     for k, piece in enumerate(pieces[1:], 2):
         total = len(block) if k == len(pieces) else None
         links = [("WARC-Segment-Origin-ID", own), ("WARC-Segment-Number", k), ("WARC-Segment-Total-Length", total)]
-        yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", page_record_id(page_id, f"{copy} {k}")), *common, *links], piece)
+        yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", new_record_id()), *common, *links], piece)
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 0, segment: int = SEGMENT_BYTES) -> None:
@@ -123,9 +123,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # The record that revisits refer to is named by its page alone.
-                copy = uuid.uuid4().hex if row[4] or row[3] is None or row[0] is None else ""
-                out += page_records(*row, copy, segment)
+                out += page_records(*row, segment)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     lines = d.mapInArrow(records, "value binary").select(F.col("value").cast("string"))
@@ -159,7 +157,7 @@ def http_payload(block: bytes) -> bytes:
     return dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
-_PARTS = "page_id long, record_id string, type string, refers_to_id string, refers_to long, segment long, total long, digest string, payload binary"
+_PARTS = "page_id long, record_id string, type string, refers_to long, segment long, total long, digest string, payload binary"
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +174,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = f.get("warc-segment-origin-id") or f["warc-record-id"]
                 digest = f.get("warc-payload-digest", "").removeprefix("sha1:") or None
                 total = number(f, "warc-segment-total-length")
-                rows.append((number(f, "page-id"), own, kind, f.get("warc-refers-to"), number(f, "refers-to-page-id"), segment, total, digest, payload))
+                rows.append((number(f, "page-id"), own, kind, number(f, "refers-to-page-id"), segment, total, digest, payload))
                 held += len(payload)
                 if held > 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
@@ -219,10 +217,10 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Responses (``page_id``, ``record_id``, ``payload_bytes``,
     ``payload_digest``, ``payload``) and revisits (``page_id``, ``refers_to``,
-    ``refers_to_id``, ``payload_digest``) of all files under ``path``. Only
+    ``payload_digest``) of all files under ``path``. Only
     segments are shuffled; a group is one record."""
     parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(_parts, _PARTS)
-    revisits = parts.where("type = 'revisit'").select("page_id", "refers_to", "refers_to_id", F.col("digest").alias("payload_digest"))
+    revisits = parts.where("type = 'revisit'").select("page_id", "refers_to", F.col("digest").alias("payload_digest"))
     plain = parts.where("type = 'response' AND segment IS NULL").select("page_id", "record_id", "digest", "payload")
     segments = parts.where("segment IS NOT NULL").groupBy("record_id")
     segments = segments.agg(F.max("page_id").alias("page_id"), F.max("digest").alias("digest"), F.collect_list(F.struct("segment", "total", "payload")).alias("parts"))
@@ -233,13 +231,12 @@ def read_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def archive_index(spark: SparkSession, path: str) -> DataFrame:
     """Per page: ``page_id``, length and digest of its full payload, and whether
-    it is a response or a revisit of which page. A revisit whose digest is not
-    that of the record it refers to raises."""
+    it is a response or a revisit of which page. A revisit that refers to no record
+    with its digest raises."""
     responses, revisits = read_archive(spark, path)
-    responses = responses.select("page_id", "record_id", "payload_bytes", "payload_digest")
-    origin = responses.groupBy("record_id").agg(F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("found"))
-    seen = revisits.join(origin, revisits["refers_to_id"] == origin["record_id"], "left")
-    same = F.when(F.col("found") == F.col("payload_digest"), F.col("payload_digest"))
-    digest = F.coalesce(same, F.raise_error(F.lit("a revisit refers to another payload or to no record")).cast("string"))
-    seen = seen.select("page_id", "payload_bytes", digest.alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to")
+    responses = responses.select("page_id", "payload_bytes", "payload_digest")
+    origin = responses.groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("found"))
+    seen = revisits.join(origin, ["refers_to", "payload_digest"], "left")
+    size = F.coalesce("found", F.raise_error(F.lit("a revisit refers to no record with its payload")).cast("long"))
+    seen = seen.select("page_id", size.alias("payload_bytes"), "payload_digest", F.lit("revisit").alias("record_type"), "refers_to")
     return responses.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).union(seen)
