@@ -72,14 +72,14 @@ LOADED = f"{RAW}, loaded AS (SELECT * FROM raw WHERE date IS NOT NULL AND close
 def _(spark, d):
     path = scratch_path(spark, "raw-bars")
     raw_text(flag_bars(spark, d)).write.option("header", True).csv(path)
-    return tidy(bar_files.read_bars(spark, path, columns=("series_id", *RAW_COLUMNS), series_from="column"), 8)
+    return tidy(bar_files.read_bars(spark, path, series_from="column"), 8)
 
 
 @query("s2_read_many_series", f"WITH {LOADED} SELECT series_id, count(*) AS n_rows, {r('sum(close)', 'close')} FROM loaded GROUP BY 1")
 def _(spark, d):
     path = scratch_path(spark, "raw-folders")
     raw_text(flag_bars(spark, d)).write.partitionBy("series_id").option("header", True).csv(path)
-    bars = bar_files.read_bars(spark, path, columns=RAW_COLUMNS, series_from="folder")
+    bars = bar_files.read_bars(spark, path, series_from="folder")
     return tidy(bars.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("close").alias("close")))
 
 
@@ -259,8 +259,8 @@ def _(spark, d):
     "q11_histogram",
     f"""WITH {SUPP}, lim AS (SELECT min(volume) AS lo, max(volume) AS hi FROM bars),
     b AS (SELECT CAST(least(floor((volume - lo) / ((hi - lo) / 60.0)), 59) AS INT) AS bin, lo, hi FROM bars, lim)
-    SELECT bin, {r('lo + bin * ((hi - lo) / 60.0)', 'bin_from')}, {r('lo + (bin + 1) * ((hi - lo) / 60.0)', 'bin_to')}, count(*) AS n
-    FROM b GROUP BY bin, lo, hi""",
+    SELECT k AS bin, {r('lo + k * ((hi - lo) / 60.0)', 'bin_from')}, {r('lo + (k + 1) * ((hi - lo) / 60.0)', 'bin_to')},
+    (SELECT count(*) FROM b WHERE bin = k) AS n FROM lim, range(60) g(k)""",
 )
 def _(spark, d):
     return tidy(quality.histogram(supplier_bars(spark, d), "volume", 60))

@@ -175,7 +175,7 @@ def _(spark, d):
 @query(
     "m6_roc_curve",
     f"""WITH {SCORES}, {AUC} SELECT model, {r('y_score', 'threshold')}, {r('(tq - cq + q) / tq', 'fpr')},
-    {r('(tp - cp + p) / tp', 'tpr')} FROM auc1""",
+    {r('(tp - cp + p) / tp', 'tpr')} FROM auc1 UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM auc1""",
 )
 def _(spark, d):
     return tidy(metrics.roc_curve(scores(spark, d)))

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltide.plans.layout import BLOCK, BLOCK_ROWS, block_window, blocked, with_row_index, without_halo
+from voltide.plans.layout import BLOCK_ROWS, block_window, blocked, with_row_index, without_halo
 
 MODELS = ("Naive", "Rolling Mean", "EWMA")
 ROLLING_WINDOW = 21
 DECAY = 0.94
-# 0.94 ** 600 is below double precision, so older rows cannot change a result.
-DECAY_ROWS = 600
+# A run of rows is scaled by powers of the decay down to about exp(-RUN_RANGE).
+RUN_RANGE = 230.0
+# Runs whose total weight is below exp(-CARRY_RANGE) cannot change a double.
+CARRY_RANGE = 45.0
 
 
 def ewma_weight(age: Column, first: Column, decay: float = DECAY) -> Column:
@@ -39,6 +43,32 @@ def baseline_forecasts(history: DataFrame, test: DataFrame, value: str) -> DataF
     return truth.join(fits, "series_id").select("series_id", "date", "model", "y_true", "y_pred")
 
 
+def running_ewma(rows: DataFrame, value: str, decay: float = DECAY, name: str = "ewma") -> DataFrame:
+    """Adds the EWMA up to and including each row of a numbered table.
+
+    The recursion is affine, so a series is cut into runs: inside a run it is a
+    scaled running sum, and a small table of run totals gives what earlier runs
+    carry in. Runs are short enough that no power overflows, whatever the decay.
+    """
+    if not 0 < decay < 1:
+        raise ValueError("decay must lie between 0 and 1")
+    size = max(1, min(BLOCK_ROWS, int(RUN_RANGE / -math.log(decay))))
+    reach = max(1, math.ceil(CARRY_RANGE / (-math.log(decay) * size)))
+    place = F.col("row_idx").cast("long")
+    rows = rows.withColumns({"_run": F.call_function("div", place, F.lit(size).cast("long")), "_k": F.pmod(place, F.lit(size)).cast("double")})
+    weight = F.when(place == 0, F.lit(1.0)).otherwise(F.lit(1.0 - decay))
+    scaled = F.col(value) * weight * F.pow(F.lit(decay), -F.col("_k"))
+    totals = rows.groupBy("series_id", "_run").agg((F.sum(scaled) * F.pow(F.lit(decay), F.max("_k"))).alias("_total"))
+    before = Window.partitionBy("series_id").orderBy("_run").rowsBetween(-reach, -1)
+    # Every run before the last is full: one step of the fold is a whole run.
+    step = decay**size
+    carry = totals.select("series_id", "_run", F.aggregate(F.collect_list("_total").over(before), F.lit(0.0), lambda a, p: a * F.lit(step) + p).alias("_carry"))
+    inside = Window.partitionBy("series_id", "_run").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.sum(scaled).over(inside) * F.pow(F.lit(decay), "_k")
+    rows = rows.withColumn("_own", own).join(carry, ["series_id", "_run"])
+    return rows.withColumn(name, F.col("_own") + F.col("_carry") * F.pow(F.lit(decay), F.col("_k") + 1)).drop("_run", "_k", "_own", "_carry")
+
+
 def walk_forward(
     df: DataFrame,
     value: str,
@@ -53,24 +83,19 @@ def walk_forward(
     window frame. Rows before ``train_size + horizon - 1`` have no forecast.
     """
     rows = with_row_index(df.drop("row_idx", "n_rows").where(F.col(value).isNotNull()))
-    back = max(DECAY_ROWS, window) + horizon
+    rows = running_ewma(rows, value, decay, "_ewma")
     w = block_window()
     y = F.col(value)
-    # Running sum of y / decay^k inside the block, k counted from the start of
-    # the halo: one pass instead of a long weighted frame per row.
-    k = (F.col("row_idx") - F.col(BLOCK) * F.lit(BLOCK_ROWS) + F.lit(back)).cast("double")
-    seed = F.when(F.col("row_idx") == 0, F.lit(1.0)).otherwise(F.lit(1.0 - decay))
-    scaled = F.sum(y * seed * F.pow(F.lit(decay), -k)).over(w.rowsBetween(-(BLOCK_ROWS + back), -horizon))
     start = F.floor(F.col("n_rows") * F.lit(train_fraction)) + F.lit(horizon - 1)
     live = F.col("row_idx") >= start
-    out = blocked(rows, back=back).withColumns(
+    out = blocked(rows, back=window + horizon).withColumns(
         {
             "Naive": F.when(live, F.lag(y, horizon).over(w)),
             "Rolling Mean": F.when(live, F.avg(y).over(w.rowsBetween(-(horizon + window - 1), -horizon))),
-            "EWMA": F.when(live, scaled * F.pow(F.lit(decay), k - F.lit(float(horizon)))),
+            "EWMA": F.when(live, F.lag("_ewma", horizon).over(w)),
         }
     )
-    return without_halo(out)
+    return without_halo(out).drop("_ewma")
 
 
 def walk_forward_predictions(df: DataFrame, value: str, horizon: int = 1, train_fraction: float = 0.70) -> DataFrame:

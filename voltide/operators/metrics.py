@@ -98,8 +98,15 @@ def auc(preds: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
 
 
 def roc_curve(preds: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
-    """False and true positive rate at every distinct threshold."""
-    curve = running_totals(score_counts(preds, keys), keys, "score", ["n_pos", "n_neg"], descending=True)
+    """False and true positive rate at every distinct threshold, and the start
+    point (0, 0) at an infinite one."""
+    counts = score_counts(preds, keys)
+    curve = running_totals(counts, keys, "score", ["n_pos", "n_neg"], descending=True)
+    start = counts.select(*keys).distinct().select(*keys, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(_curve_points(curve, keys))
+
+
+def _curve_points(curve: DataFrame, keys: Sequence[str]) -> DataFrame:
     return curve.select(
         *keys,
         F.col("score").alias("threshold"),

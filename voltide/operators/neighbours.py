@@ -71,18 +71,25 @@ def _tile_top_k(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
             a, b = np.stack(q["v"].to_numpy()), np.stack(t["v"].to_numpy())
             names, targets = t["id"].to_numpy(), t["y"].to_numpy(float)
             b2 = (b * b).sum(axis=1)
-            take = min(k + 8, len(b))
-            for start in range(0, len(a), 512):
-                part = a[start : start + 512]
+            place = np.argsort(np.argsort(names))
+            take = min(k, len(b))
+            for start in range(0, len(a), 64):
+                part, asked = a[start : start + 64], q["id"].to_numpy()[start : start + 64]
+                a2 = (part * part).sum(axis=1)
                 rough = b2[None, :] - 2.0 * part @ b.T
-                near = np.argpartition(rough, take - 1, axis=1)[:, :take]
-                exact = np.sqrt(((b[near] - part[:, None, :]) ** 2).sum(axis=2))
-                for i, qid in enumerate(q["id"].to_numpy()[start : start + 512]):
-                    order = sorted(range(take), key=lambda j: (exact[i, j], names[near[i, j]]))[:k]
-                    columns["qid"] += [qid] * len(order)
-                    columns["tid"] += [names[near[i, j]] for j in order]
-                    columns["distance"] += [exact[i, j] for j in order]
-                    columns["y"] += [targets[near[i, j]] for j in order]
+                # All rows that rounding lets be as near as the k-th, ties included.
+                last = np.partition(rough, take - 1, axis=1)[:, take - 1]
+                slack = 1e-9 * (a2 + b2.max() + 1.0)
+                i, j = np.nonzero(rough <= (last + slack)[:, None])
+                exact = np.concatenate([np.sqrt(((b[j[c : c + 65_536]] - part[i[c : c + 65_536]]) ** 2).sum(axis=1)) for c in range(0, len(i), 65_536)])
+                order = np.lexsort((place[j], exact, i))
+                i, j, exact = i[order], j[order], exact[order]
+                nth = np.arange(len(i)) - np.searchsorted(i, i)
+                keep = nth < k
+                columns["qid"] += list(asked[i[keep]])
+                columns["tid"] += list(names[j[keep]])
+                columns["distance"] += list(exact[keep])
+                columns["y"] += list(targets[j[keep]])
         return pd.DataFrame(columns)
 
     return both.groupBy("cell", "qt", "tt").applyInPandas(best, "qid string, tid string, distance double, y double")

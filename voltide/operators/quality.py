@@ -53,14 +53,15 @@ def duplicate_dates(df: DataFrame) -> DataFrame:
 
 def business_day_gaps(df: DataFrame) -> DataFrame:
     """Expected, present and missing business days. The calendar is counted
-    by arithmetic, so no date list is built."""
+    by arithmetic, so no date list is built; days are made distinct first, so
+    every count is a plain sum."""
     day = F.col("date").cast("date")
-    on_weekday = F.when(F.weekday(day) < 5, day)
-    spans = df.groupBy("series_id").agg(
-        F.min(day).alias("_first"),
-        F.max(day).alias("_last"),
-        F.count_distinct(day).alias("n_business_days_present"),
-        F.count_distinct(on_weekday).alias("_hit"),
+    days = df.select("series_id", day.alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    spans = days.groupBy("series_id").agg(
+        F.min("_day").alias("_first"),
+        F.max("_day").alias("_last"),
+        F.count(F.lit(1)).alias("n_business_days_present"),
+        F.count_if(F.weekday("_day") < 5).alias("_hit"),
     )
     expected = weekdays_between(F.col("_first"), F.col("_last"))
     return spans.select(
@@ -101,14 +102,17 @@ REPORT_ORDER = (
 def qa_report(df: DataFrame) -> DataFrame:
     """All checks, one row per series, worst first. Series without a readable
     row stay in the report with an ``error`` text when ``df`` has one."""
-    day = F.col("date").cast("date")
-    out = df.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min(day).alias("date_min"),
-        F.max(day).alias("date_max"),
-        (F.count(day) - F.count_distinct(day)).alias("n_duplicates_date"),
-        F.count_distinct(F.when(F.weekday(day) < 5, day)).alias("_hit"),
-        *[c.alias(n) for n, c in {**ohlc_faults(), **volume_faults()}.items()],
+    faults = {**ohlc_faults(), **volume_faults()}
+    # One row per day first: distinct days are then counted without expanding rows.
+    days = df.groupBy("series_id", F.col("date").cast("date").alias("_day")).agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in faults.items()])
+    known = F.col("_day").isNotNull()
+    out = days.groupBy("series_id").agg(
+        F.sum("_rows").alias("n_rows"),
+        F.min("_day").alias("date_min"),
+        F.max("_day").alias("date_max"),
+        F.coalesce(F.sum(F.when(known, F.col("_rows") - 1)), F.lit(0)).alias("n_duplicates_date"),
+        F.count_if(known & (F.weekday("_day") < 5)).alias("_hit"),
+        *[F.sum(n).alias(n) for n in faults],
     )
     expected = weekdays_between(F.col("date_min"), F.col("date_max"))
     out = out.withColumns(
@@ -175,23 +179,25 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between minimum and maximum; the last bin is closed."""
+    """Equal-width bins between minimum and maximum, empty ones too; the last
+    bin is closed. Without a known value there are no bins."""
     value = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     limits = value.agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
     width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
     place = F.coalesce(F.floor((F.col("v") - F.col("_lo")) / width), F.lit(0))
     counts = (
         value.join(F.broadcast(limits))
-        .select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"), "_lo", "_hi")
-        .groupBy("bin", "_lo", "_hi")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
+        .groupBy("bin")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    return counts.select(
+    every = limits.where(F.col("_lo").isNotNull()).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (F.col("_lo") + F.col("bin") * step).alias("bin_from"),
         (F.col("_lo") + (F.col("bin") + 1) * step).alias("bin_to"),
-        "n",
+        F.coalesce("_n", F.lit(0)).alias("n"),
     )
 
 

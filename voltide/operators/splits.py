@@ -94,20 +94,19 @@ def lookback_sequences(df: DataFrame, columns: Sequence[str], lookback: int = 21
     return without_halo(out).where(F.size("sequence") == lookback)
 
 
-class TargetMismatch(ValueError):
-    """Prediction tables disagree on the true value of a row."""
-
-
 def align_predictions(left: DataFrame, right: DataFrame, tolerance: float = 1e-8) -> DataFrame:
-    """Join two wide prediction tables on (series, date). A differing true
-    value fails the job; the check runs inside the join, not as a second one."""
-    other = right.withColumnRenamed("y_true", "_y_true")
-    same = F.abs(F.col("y_true") - F.col("_y_true")) <= F.lit(tolerance) * (F.abs("_y_true") + F.lit(1.0))
-    joined = left.join(other, ["series_id", "date"], "left")
-    checked = F.when(
-        F.coalesce(same, F.lit(True)), F.col("y_true")
-    ).otherwise(F.raise_error(F.lit("prediction tables differ in y_true")).cast("double"))
-    return joined.withColumn("y_true", checked).drop("_y_true")
+    """Join two wide prediction tables on (series, date). A row that only one
+    of them has, or a differing true value, fails the job: the check is a
+    filter, which stays whatever columns are selected later."""
+    a = left.withColumn("_left", F.lit(True))
+    b = right.withColumnRenamed("y_true", "_y_true").withColumn("_right", F.lit(True))
+    joined = a.join(b, ["series_id", "date"], "full")
+    both = F.col("_left").isNotNull() & F.col("_right").isNotNull()
+    known = F.col("y_true").isNotNull() & F.col("_y_true").isNotNull()
+    close = F.abs(F.col("y_true") - F.col("_y_true")) <= F.lit(tolerance) * (F.abs("_y_true") + F.lit(1.0))
+    same = F.when(known, close).otherwise(F.col("y_true").isNull() == F.col("_y_true").isNull())
+    failed = F.raise_error(F.lit("prediction tables differ in rows or in y_true")).cast("boolean")
+    return joined.where(F.when(both & same, F.lit(True)).otherwise(failed)).drop("_y_true", "_left", "_right")
 
 
 def complete_models(preds: DataFrame, expected_rows: DataFrame | None = None) -> DataFrame:

@@ -63,7 +63,7 @@ def ljung_box(preds: DataFrame, lags: int = 10, keys: Sequence[str] = KEYS) -> D
         total = total + F.pow(f"acf_{k}", F.lit(2.0)) / (n - F.lit(k))
     stat = (n * (n + F.lit(2))) * total
     return acf.select(*keys, F.lit(lags).alias("lags"), stat.alias("statistic")).withColumn(
-        "p_value", chi2_tail_even(F.col("statistic"), lags)
+        "p_value", chi2_tail_even(F.col("statistic"), lags) if lags % 2 == 0 else chi2_tail("statistic", "lags")
     )
 
 

@@ -104,35 +104,32 @@ def exact_quantiles(
     )
 
 
-# Up to this many rows the built-in exact aggregate is used.
-SMALL = 20_000
 SLACK = 0.0005
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
-    """Exact quantiles of many columns: ``(column, <name> ...)``.
-
-    A sketch of all columns (one row, read by the driver) gives a bracket that
-    is certain to hold each quantile; only values inside the brackets are
-    counted and ordered, so almost nothing of a large table is shuffled.
+    """Exact quantiles of many columns: ``(column, <name> ...)``; null for a
+    column without a known value.
+
+    A sketch of all columns (one row, read by the driver) brackets each
+    quantile; only values inside the brackets are counted and ordered, so
+    almost nothing of a large table is shuffled. A bracket reaches ``SLACK`` of
+    the known values of its column, and two values more, to either side: beyond
+    the sketch's error and beyond both order statistics. A wanted rank outside
+    its bracket raises.
     """
     columns, names = list(columns), list(quantiles)
     typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    shares = [s for q in quantiles.values() for s in (max(q - SLACK, 0.0), min(q + SLACK, 1.0))]
-    sketch = typed.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.percentile_approx(c, shares, 10_000).alias(f"_s{i}") for i, c in enumerate(columns)]
-    ).first()
-    if sketch["_rows"] <= SMALL:
-        # Few enough values for the exact aggregate of one task.
-        exact = [
-            F.struct(F.lit(c).alias("column"), *[F.percentile(c, q).alias(n) for n, q in quantiles.items()]).alias(f"_q{i}")
-            for i, c in enumerate(columns)
-        ]
-        row = typed.agg(*exact)
-        return row.select(F.inline(F.array(*[F.col(f"_q{i}") for i in range(len(columns))])))
+    known = typed.agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)]).first()
+
+    def shares(i: int) -> list[float]:
+        slack = SLACK + 2.0 / max(known[i], 1)
+        return [s for q in quantiles.values() for s in (max(q - slack, 0.0), min(q + slack, 1.0))]
+
+    sketch = typed.agg(*[F.percentile_approx(c, shares(i), 10_000).alias(f"_s{i}") for i, c in enumerate(columns)]).first()
 
     def bracket(i: int, k: int) -> tuple[float, float]:
-        cuts = sketch[f"_s{i}"] or [0.0] * len(shares)
+        cuts = sketch[f"_s{i}"] or [0.0] * 2 * len(names)
         return cuts[2 * k], cuts[2 * k + 1]
 
     limits = [(c, *[x for k in range(len(names)) for x in bracket(i, k)]) for i, c in enumerate(columns)]
@@ -159,11 +156,12 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], quantiles: dict[str,
             covers = (F.col("cum__n") > local) & (F.col("cum__n") - F.col("_n") <= local)
             picks.append(F.max(F.when(covers, F.col("v"))).alias(f"_{name}_{side}"))
         picks.append(F.max(place - F.floor(place)).alias(f"_{name}_part"))
-    found = joined.groupBy("column").agg(*picks)
-    return found.select(
-        "column",
-        *[
-            (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_part")).alias(n)
-            for n in names
-        ],
-    )
+    found = F.broadcast(joined.groupBy("column").agg(*picks))
+    every = df.sparkSession.createDataFrame([(c, known[i] > 0) for i, c in enumerate(columns)], "column string, _known boolean")
+
+    def value(n: str) -> Column:
+        lo, hi = F.col(f"_{n}_lo"), F.col(f"_{n}_hi")
+        missed = F.raise_error(F.concat(F.lit("rank outside its bracket in column "), F.col("column"))).cast("double")
+        return F.when(~F.col("_known"), F.lit(None)).when(lo.isNull() | hi.isNull(), missed).otherwise(lo + (hi - lo) * F.col(f"_{n}_part"))
+
+    return every.join(found, "column", "left").select("column", *[value(n).alias(n) for n in names])

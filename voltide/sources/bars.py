@@ -39,7 +39,8 @@ def tolerant_number(column: str) -> Column:
 
 
 def tolerant_date(column: str) -> Column:
-    return F.trim(F.col(column).cast("string")).try_cast("timestamp").cast("date")
+    """The date that a text begins with; a time alone is no date."""
+    return F.trim(F.col(column).cast("string")).try_cast("date")
 
 
 def tolerant_types(df: DataFrame) -> DataFrame:
@@ -76,17 +77,25 @@ def read_bars(
     spark: SparkSession,
     path: str | Sequence[str],
     start: str | None = START_DATE,
-    columns: Sequence[str] = ("Date", "Open", "High", "Low", "Close", "Volume", "OpenInt"),
+    columns: Sequence[str] | None = None,
     series_from: str = "file",
 ) -> DataFrame:
     """Read one file or a whole folder of bar files in one scan.
 
+    Columns are found by their names in the header, in any order; files of one
+    call share a header (a file with another one raises), so read files of
+    another layout by a call of their own. ``columns`` states the header
+    instead of reading it from a file.
+
     ``series_id`` is the file name up to its first dot (``file``: one
     ``<ticker>.us.txt`` per series), a ``series_id=...`` folder (``folder``)
     or a column of that name (``column``).
     """
+    if columns is None:
+        folders = {"series_id"} if series_from == "folder" else set()
+        columns = [c for c in file_columns(spark, path) if c not in folders]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     if series_from == "file":
         raw = raw.select("*", F.lower(F.substring_index(F.col("_metadata.file_name"), ".", 1)).alias("series_id"))
     elif series_from == "folder":
@@ -96,8 +105,8 @@ def read_bars(
     return clean(raw, start).select("series_id", "date", *NUMBERS)
 
 
-def file_columns(spark: SparkSession, path: str) -> list[str]:
-    """Header of a bar file as written, for files with a different layout."""
+def file_columns(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Header of the first bar file as written."""
     return spark.read.option("header", True).csv(path).columns
 
 
