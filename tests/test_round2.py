@@ -83,3 +83,24 @@ def test_tied_neighbours_come_in_id_order(spark, parts):
     queries = spark.createDataFrame([("q0", [0.0], None), ("q1", [1.0], None)], "id string, v array<double>, y double")
     got = nearest_neighbours(queries, train, 5).orderBy("qid", "rank").collect()
     assert [r.tid for r in got] == [f"t{k:03d}" for k in (0, 2, 4, 6, 8)] + [f"t{k:03d}" for k in (1, 3, 5, 7, 9)]
+
+
+def test_intraday_bars_are_cut_into_blocks(spark):
+    from voltide.plans.layout import SPAN, grain_of, time_span, with_row_index
+    from voltide.settings import BLOCK_ROWS
+
+    bars = spark.range(100_000).select(F.lit("A").alias("series_id"), F.timestamp_seconds(F.col("id") * 60 + 1_600_000_000).alias("date"), "id")
+    grain = grain_of(bars, ["series_id"], "date")
+    assert grain == 60
+    assert bars.groupBy(time_span(bars, "date", grain).alias(SPAN)).count().agg(F.max("count")).first()[0] <= BLOCK_ROWS
+    assert with_row_index(bars).where("row_idx <> id OR n_rows <> 100000").isEmpty()
+
+
+def test_normal_quantile(spark):
+    from statistics import NormalDist
+
+    from voltide.functions.scalars import normal_quantile
+
+    rows = spark.range(0, 1001).select((F.col("id") / 1000).alias("p")).withColumn("q", normal_quantile("p")).collect()
+    assert rows[0].q is None and rows[-1].q is None
+    assert all(abs(r.q - NormalDist().inv_cdf(r.p)) < 1e-8 for r in rows[1:-1])

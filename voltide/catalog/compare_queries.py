@@ -9,6 +9,7 @@ from voltide.catalog.inputs import (
     r, rr, scores, tidy, volatility,
 )
 from voltide.catalog.registry import query
+from voltide.functions import scalars
 from voltide.operators import baselines, comparison, metrics, splits, tests_of_fit
 from voltide.operators.features import build_features
 from voltide.session import scratch_path
@@ -312,7 +313,25 @@ def _(spark, d):
     return tidy(tests_of_fit.qq_points(predictions(spark, d)).drop("theoretical"))
 
 
-@query("v5_qq_theoretical")
+def _horner(x: str, coefficients) -> str:
+    out = repr(coefficients[0])
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c!r})"
+    return out
+
+
+_TAIL = f"({_horner('q', scalars.QUANTILE_C)} / {_horner('q', scalars.QUANTILE_D)})"
+
+
+@query(
+    "v5_qq_theoretical",
+    f"""WITH {RES}, o AS (SELECT series_id, model, e, row_number() OVER (PARTITION BY series_id, model ORDER BY e) AS place,
+      count(*) OVER (PARTITION BY series_id, model) AS n FROM res),
+    pos AS (SELECT *, (place - 0.5) / n AS p FROM o), m AS (SELECT *, p - 0.5 AS m, least(p, 1 - p) AS near, sqrt(-2 * ln(least(p, 1 - p))) AS q FROM pos),
+    t AS (SELECT *, CASE WHEN near >= {scalars.QUANTILE_TAIL} THEN m * {_horner('(m * m)', scalars.QUANTILE_A)} / {_horner('(m * m)', scalars.QUANTILE_B)}
+      WHEN p < 0.5 THEN {_TAIL} ELSE -{_TAIL} END AS t FROM m)
+    SELECT series_id, model, place, {r('e', 'sample')}, {r('p', 'position')}, {r('t', 'theoretical')} FROM t""",
+)
 def _(spark, d):
     return tidy(tests_of_fit.qq_points(predictions(spark, d)))
 
@@ -510,7 +529,7 @@ def _(spark, d):
 V14 = f"""{SCORES}, wide AS (SELECT series_id, date, max(y_true) AS y_true, max(y_score) FILTER (WHERE model = 'rsi') AS a,
     max(y_score) FILTER (WHERE model = 'range') AS b FROM scores GROUP BY 1, 2),
 num AS (SELECT *, row_number() OVER (ORDER BY series_id, date) - 1 AS idx, count(*) OVER () AS total FROM wide),
-draws AS (SELECT CAST(rep AS INT) AS rep, {_draw('rep', 'idx')} % total AS idx FROM num, generate_series(1, 200) g(rep)),
+draws AS (SELECT CAST(rep AS INT) AS rep, {_draw('rep', 'idx')} % total AS idx FROM num, generate_series(1, 2000) g(rep)),
 taken AS (SELECT rep, y_true, a, b FROM draws JOIN num USING (idx) UNION ALL SELECT 0, y_true, a, b FROM num),
 long AS (SELECT rep, 'a' AS side, a AS s, y_true FROM taken UNION ALL SELECT rep, 'b', b, y_true FROM taken),
 cnt AS (SELECT rep, side, s, count(*) FILTER (WHERE y_true = 1) AS p, count(*) FILTER (WHERE y_true = 0) AS q FROM long GROUP BY 1, 2, 3),
@@ -525,4 +544,4 @@ z AS (SELECT max(d) FILTER (WHERE rep = 0) AS delta_auc, stddev_pop(d) FILTER (W
     f"WITH {V14} SELECT {rr(('delta_auc', 'sd'), 5)}, n_boot, {r('delta_auc / sd', 'z', 5)}, {r(normal_p_sql('(delta_auc / sd)'), 'p_value', 5)} FROM z",
 )
 def _(spark, d):
-    return tidy(comparison.bootstrap_auc_difference(scores(spark, d), "rsi", "range", n_boot=200), 5)
+    return tidy(comparison.bootstrap_auc_difference(scores(spark, d), "rsi", "range"), 5)

@@ -14,12 +14,11 @@ from voltide.catalog.registry import query
 from voltide.operators import (
     balance, baselines, econometric, explain, metrics, models, neighbours, prep, regimes, search, splits, targets,
 )
-from voltide.operators.features import FEATURES
+from voltide.operators.features import FAMILIES, FEATURES
 from voltide.session import materialize, scratch_path
 from voltide.sources import tables
 
 X = list(FEATURES)
-FEW = ["vol_7_lag1", "rsi_14", "hl_range", "vol_ratio_7_14"]
 TREES = 10
 Y, CLASS = "target_vol_7", "target_class"
 
@@ -53,10 +52,10 @@ def scaled_sql(columns, digits: int = 6) -> str:
     return f"WITH {HIST} SELECT series_id, date, {body} FROM hist"
 
 
-@query("r2_standard_scaler", scaled_sql(FEW))
+@query("r2_standard_scaler", scaled_sql(X))
 def _(spark, d):
     history, _ = parts(spark, d)
-    return tidy(prep.apply_prep(history, prep.fit_prep(history, FEW)).select("series_id", "date", *FEW))
+    return tidy(prep.apply_prep(history, prep.fit_prep(history, X)).select("series_id", "date", *X))
 
 
 @query("r6_class_weights", f"WITH {HIST} SELECT target_class, count(*) AS n_class, {r('(SELECT count(*) FROM hist) / (2.0 * count(*))', 'weight')} FROM hist GROUP BY 1")
@@ -124,18 +123,17 @@ model_query("l9_logistic_l2", models.logistic("l2"))
 model_query("l10_naive_bayes_mllib", models.naive_bayes())
 model_query("l11_boosted_variants", models.boosted_300(TREES))
 
-KNN_FEATURES = X[:20]
-KNN = f"""{SPLIT}, st AS (SELECT {", ".join(f"avg({c}) FILTER (WHERE split <> 'test') AS m{i}, stddev_pop({c}) FILTER (WHERE split <> 'test') AS s{i}" for i, c in enumerate(KNN_FEATURES))} FROM split),
-z AS (SELECT s.series_id, s.date, s.split, s.target_vol_7, s.target_class, {", ".join(f"({c} - m{i}) / s{i} AS z{i}" for i, c in enumerate(KNN_FEATURES))} FROM split s, st),
+KNN = f"""{SPLIT}, st AS (SELECT {", ".join(f"avg({c}) FILTER (WHERE split <> 'test') AS m{i}, stddev_pop({c}) FILTER (WHERE split <> 'test') AS s{i}" for i, c in enumerate(X))} FROM split),
+z AS (SELECT s.series_id, s.date, s.split, s.target_vol_7, s.target_class, {", ".join(f"({c} - m{i}) / s{i} AS z{i}" for i, c in enumerate(X))} FROM split s, st),
 near AS (SELECT q.series_id, q.date, q.target_vol_7 AS y, q.target_class AS yc, t.target_vol_7 AS ty, t.target_class AS tc,
-    row_number() OVER (PARTITION BY q.series_id, q.date ORDER BY {" + ".join(f"(q.z{i} - t.z{i}) * (q.z{i} - t.z{i})" for i in range(len(KNN_FEATURES)))}) AS k
+    row_number() OVER (PARTITION BY q.series_id, q.date ORDER BY {" + ".join(f"(q.z{i} - t.z{i}) * (q.z{i} - t.z{i})" for i in range(len(X)))}) AS k
   FROM z q, z t WHERE q.split = 'test' AND t.split <> 'test')"""
 
 
 def _knn(spark, d, label):
     history, test = parts(spark, d)
-    fitted = prep.fit_prep(history, KNN_FEATURES)
-    return neighbours.knn_predict(prep.apply_prep(history, fitted), prep.apply_prep(test, fitted), KNN_FEATURES, label)
+    fitted = prep.fit_prep(history, X)
+    return neighbours.knn_predict(prep.apply_prep(history, fitted), prep.apply_prep(test, fitted), X, label)
 
 
 @query("l4_knn_regressor", f"WITH {KNN} SELECT series_id, date, 'KNN' AS model, {r('max(y)', 'y_true')}, {r('avg(ty)', 'y_pred')} FROM near WHERE k <= 11 GROUP BY 1, 2")
@@ -149,13 +147,13 @@ def _(spark, d):
 
 
 def _nb_log(k: int) -> str:
-    terms = " ".join(f"- 0.5 * ln(2 * pi() * (v{k}_{c} + fl)) - ({c} - m{k}_{c}) ** 2 / (2 * (v{k}_{c} + fl))" for c in FEW)
+    terms = " ".join(f"- 0.5 * ln(2 * pi() * (v{k}_{c} + fl)) - ({c} - m{k}_{c}) ** 2 / (2 * (v{k}_{c} + fl))" for c in X)
     return f"ln(n{k} / (n0 + n1)) {terms}"
 
 
 NB = f"""{SPLIT}, st AS (SELECT count(*) FILTER (WHERE target_class = 0) AS n0, count(*) FILTER (WHERE target_class = 1) AS n1,
-    1e-9 * greatest({", ".join(f"var_pop({c})" for c in FEW)}) AS fl,
-    {", ".join(f"avg({c}) FILTER (WHERE target_class = {k}) AS m{k}_{c}, var_pop({c}) FILTER (WHERE target_class = {k}) AS v{k}_{c}" for k in (0, 1) for c in FEW)}
+    1e-9 * greatest({", ".join(f"var_pop({c})" for c in X)}) AS fl,
+    {", ".join(f"avg({c}) FILTER (WHERE target_class = {k}) AS m{k}_{c}, var_pop({c}) FILTER (WHERE target_class = {k}) AS v{k}_{c}" for k in (0, 1) for c in X)}
   FROM split WHERE split <> 'test'),
 ll AS (SELECT series_id, date, target_class, {_nb_log(0)} AS l0, {_nb_log(1)} AS l1 FROM split, st WHERE split = 'test')"""
 
@@ -166,7 +164,7 @@ ll AS (SELECT series_id, date, target_class, {_nb_log(0)} AS l0, {_nb_log(1)} AS
 )
 def _(spark, d):
     history, test = parts(spark, d)
-    return tidy(models.gaussian_naive_bayes(history, test, FEW))
+    return tidy(models.gaussian_naive_bayes(history, test, X))
 
 
 @query("l12_fit_and_score")
@@ -180,7 +178,10 @@ def _(spark, d):
     return models.multi_horizon_ridge(split_table(spark, d), X, (7, 14, 21))
 
 
-@query("s11_feature_list_store")
+@query(
+    "s11_feature_list_store",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{f}', '{c}')" for f, cs in FAMILIES.items() for c in cs) + ") t(family, feature)",
+)
 def _(spark, d):
     path = scratch_path(spark, "features")
     from voltide.operators import features as f
@@ -191,7 +192,7 @@ def _(spark, d):
     return f.feature_families(table)
 
 
-@query("s12_model_store")
+@query("s12_model_store", f"WITH {SPLIT} SELECT count(*) AS n, CAST(0.0 AS DOUBLE) AS max_gap FROM split WHERE split = 'test'")
 def _(spark, d):
     history, test = parts(spark, d)
     fitted = models.fit_model(history, X, Y, models.ridge())
@@ -323,7 +324,7 @@ def _(spark, d):
 
 @query("h7_compare_with_best")
 def _(spark, d):
-    return regimes.compare_with_best(with_category(predictions(spark, d)), "EWMA", n_boot=200)
+    return regimes.compare_with_best(with_category(predictions(spark, d)), "EWMA")
 
 
 # --- search ------------------------------------------------------------------------------------

@@ -47,12 +47,32 @@ def normal_two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda v: None if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2.0))).astype("float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_quantile(p: pd.Series) -> pd.Series:
-    from statistics import NormalDist
-
-    inverse = NormalDist().inv_cdf
-    return p.map(lambda v: None if pd.isna(v) else inverse(v)).astype("float64")
+# Coefficients of P. J. Acklam's rational approximation of the
+# normal quantile (relative error below 1.2e-9).
+QUANTILE_A = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00)
+QUANTILE_B = (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01, 1.0)
+QUANTILE_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00)
+QUANTILE_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00, 1.0)
+QUANTILE_TAIL = 0.02425
+
+
+def _polynomial(x: Column, coefficients: Sequence[float]) -> Column:
+    out: Column = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def normal_quantile(p: Column | str) -> Column:
+    """Quantile of the standard normal; null outside (0, 1)."""
+    p = (F.col(p) if isinstance(p, str) else p).cast("double")
+    near = F.least(p, F.lit(1.0) - p)
+    q = F.sqrt(F.lit(-2.0) * F.ln(near))
+    tail = _polynomial(q, QUANTILE_C) / _polynomial(q, QUANTILE_D)
+    m = p - F.lit(0.5)
+    middle = m * _polynomial(m * m, QUANTILE_A) / _polynomial(m * m, QUANTILE_B)
+    value = F.when(near >= QUANTILE_TAIL, middle).when(p < 0.5, tail).otherwise(-tail)
+    return F.when((p > 0) & (p < 1), value)
 
 
 def chi2_tail_even(stat: Column, df: int) -> Column:

@@ -22,6 +22,17 @@ BLOCK = "_block"
 SPAN = "_span"
 
 
+def grain_of(df: DataFrame, keys: Sequence[str], date: str) -> int:
+    """Seconds between two bars: a day for dates, else the mean distance in
+    the densest series (one small aggregation, one number read)."""
+    if isinstance(df.schema[date].dataType, T.DateType):
+        return DAY_SECONDS
+    at = F.unix_seconds(F.col(date).cast("timestamp"))
+    spacing = (F.max(at) - F.min(at)) / F.nullif(F.count(at) - F.lit(1), F.lit(0))
+    mean = df.groupBy(*keys).agg(spacing.alias("_s")).agg(F.min("_s")).first()[0]
+    return max(1, int(mean or DAY_SECONDS))
+
+
 def time_span(df: DataFrame, date: str, grain_seconds: int = DAY_SECONDS) -> Column:
     """Calendar bucket of ``BLOCK_ROWS`` grains. With one bar per series and
     grain a bucket cannot hold more than ``BLOCK_ROWS`` rows."""
@@ -37,18 +48,21 @@ def with_row_index(
     keys: Sequence[str] = ("series_id",),
     date: str = "date",
     tie: Sequence[str] = (),
-    grain_seconds: int = DAY_SECONDS,
+    grain_seconds: int | None = None,
     forward_fill: Iterable[str] = (),
 ) -> DataFrame:
     """Add ``row_idx`` (0-based place in the series) and ``n_rows`` (its length).
 
     Rows are numbered inside calendar buckets and shifted by the number of
-    rows in earlier buckets, taken from a small aggregated table. For columns
+    rows in earlier buckets, taken from a small aggregated table. A bucket spans
+    ``BLOCK_ROWS`` grains; without ``grain_seconds`` the grain is found by
+    ``grain_of``. For columns
     in ``forward_fill`` a ``<name>_ffill`` column carries the last known value
     across any distance.
     """
     keys, fills = list(keys), list(forward_fill)
-    spans = df.withColumn(SPAN, time_span(df, date, grain_seconds))
+    grain = grain_seconds or grain_of(df, keys, date)
+    spans = df.withColumn(SPAN, time_span(df, date, grain))
     last_known = [
         F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col(date))).alias(f"_last_{c}")
         for c in fills
