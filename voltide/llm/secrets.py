@@ -97,11 +97,16 @@ def _tests(token: Column) -> Column:
 
     def measured(x: Column) -> Column:
         values = F.transform(F.filter(F.split(x["token"], ""), lambda c: c != ""), lambda c: F.position(c, x["alphabet"]).cast("double") - 1)
-        return _let(F.struct(values.alias("v"), F.length(x["alphabet"]).cast("double").alias("k")), statistics)
+        # Lengths and means are bound before the lambdas that use them: inside, they would be computed for every character.
+        return _let(F.struct(values.alias("v"), F.length(x["alphabet"]).cast("double").alias("k")), sized)
+
+    def sized(x: Column) -> Column:
+        n = F.greatest(F.size(x["v"]).cast("double"), F.lit(1.0))
+        total = F.aggregate(x["v"], F.lit(0.0), lambda a, y: a + y)
+        return _let(F.struct(x["v"].alias("v"), x["k"].alias("k"), n.alias("n"), (total / n).alias("mean")), statistics)
 
     def statistics(x: Column) -> Column:
-        v, k = x["v"], x["k"]
-        n = F.greatest(F.size(v).cast("double"), F.lit(1.0))
+        v, k, n, mean = x["v"], x["k"], x["n"], x["mean"]
         squares = F.aggregate(
             F.transform(F.sequence(F.lit(0), k.cast("int") - 1), lambda c: F.size(F.filter(v, lambda y: y == c.cast("double"))).cast("double")), F.lit(0.0), lambda a, c: a + c * c
         )
@@ -114,7 +119,6 @@ def _tests(token: Column) -> Column:
         mean_runs = 2 * high * low / n + 1
         var_runs = (mean_runs - 1) * (mean_runs - 2) / F.greatest(n - 1, F.lit(1.0))
         z_runs = F.when(var_runs > 0, (runs - mean_runs) / F.sqrt(F.greatest(var_runs, F.lit(1e-9)))).otherwise(F.lit(99.0))
-        mean = F.aggregate(v, F.lit(0.0), lambda a, y: a + y) / n
         spread = F.aggregate(v, F.lit(0.0), lambda a, y: a + (y - mean) * (y - mean))
         serial = F.aggregate(F.transform(v, lambda y, i: F.when(i > 0, (y - mean) * (v[F.greatest(i - 1, F.lit(0))] - mean)).otherwise(0.0)), F.lit(0.0), lambda a, y: a + y)
         z_serial = F.when(spread > 0, (serial / F.greatest(spread, F.lit(1e-9)) + 1 / n) * F.sqrt(n)).otherwise(F.lit(99.0))
