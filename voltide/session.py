@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +53,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect finished queries now: their shuffle files stay on
+    the executors' disks until it does. For use between large steps."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``materialize`` returned, once nothing reads them
     any more. Anything outside the shared scratch folder is left alone."""
