@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from voltide.llm.components import connected_components
 from voltide.llm.text import NOT_BLANK, U64, column_bytes, mix, row_ranges, shingle_hashes, word_hashes, word_spans
-from voltide.session import discard, materialize
+from voltide.session import discard, materialize, release
 
 MIN_BITS = 512
 BAND_RATIO = 1.5
@@ -146,11 +146,14 @@ def tiles_of(sketches: DataFrame) -> DataFrame:
     keys = sketches.where(F.col("keys").isNotNull() & F.col("id").isNotNull()).select(F.explode("keys").alias("tile"), "id")
     # Written, so that the join below gets shuffles of its own and Spark can split a hot tile.
     shared = materialize(keys.groupBy("tile").agg(F.count("*").alias("n")).where("n > 1").select("tile"), "shared-tiles")
+    release(sketches.sparkSession)
     members = materialize(keys.join(shared, "tile").distinct(), "tile-members")
+    release(sketches.sparkSession)
     same = members.groupBy("tile").agg(F.count("*").alias("n_members"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("g"))
     once = same.where("n_members > 1").groupBy("n_members", "h", "g").agg(F.min("tile").alias("tile")).select("tile", "n_members")
     tiles = materialize(members.join(once, "tile"), "tiles")
     discard(shared, members)
+    release(sketches.sparkSession)
     return tiles
 
 
@@ -239,6 +242,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tiles = tiles_of(sketches)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(tiles.select("id").distinct(), "id", "left_semi")
     texts = materialize(texts.groupBy("id").agg(F.max("text").alias("text")), "tile-texts")
+    release(docs.sparkSession)
 
     def by_rep(pairs: DataFrame) -> DataFrame:
         ends = pairs.join(rep.select(F.col("id").alias("x"), F.col("rep").alias("u")), "x")
