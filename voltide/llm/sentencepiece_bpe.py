@@ -93,7 +93,7 @@ class PieceVocabulary:
         while agenda:
             _, k, both = heapq.heappop(agenda)
             a = symbols[k]
-            if a is None or (j := right[k]) >= n or len(a) + len(symbols[j]) != len(both) or not both.startswith(a):
+            if a is None or (j := right[k]) >= n or len(a) + len(symbols[j]) != len(both):
                 continue  # one of the two has been merged since
             symbols[k], symbols[j] = both, None
             right[k] = after = right[j]
@@ -155,7 +155,7 @@ class PieceVocabulary:
         fresh = {p: (",".join(map(str, ids)), len(ids), self._spelled(ids)) for p, ids in found.items()}
         known.update((p, x) for p, x in fresh.items() if len(p) <= MEMORY_CHARS)
         for parts in split:
-            yield [known[p] if p in known else fresh[p] for p in parts]
+            yield [known.get(p) or fresh[p] for p in parts]
 
     def _check(self, found: dict[str, list[int]]) -> None:
         """Compares parts with the library. It sets a space mark before every
