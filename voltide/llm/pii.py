@@ -34,7 +34,8 @@ STRIDE = WINDOW // 2
 SAMPLE_WINDOWS = 1_000
 HIDDEN = 24
 EMBEDDED = 16
-EPOCHS = 6
+#: Steps of the fit, however many examples there are.
+STEPS = 420
 BATCH = 32
 SEED = 42
 MIN_POSTERIOR = 0.9
@@ -254,20 +255,17 @@ def train(examples: list[tuple[str, list[tuple[int, int, int]]]], seed: int = SE
                 tags[k, a] = 1 + 2 * kind
     tagger = Tagger(w)
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
-    t = 0
-    for epoch in range(EPOCHS):
-        order = rng.permutation(len(examples))
-        for at in range(0, len(order), BATCH):
-            rows = order[at : at + BATCH]
-            grads = _gradient(tagger, ids[rows].T, tags[rows].T)
-            norm = np.sqrt(sum((g * g).sum() for g in grads.values()))
-            t += 1
-            rate = 0.02 * (1 - epoch / EPOCHS) + 1e-4
-            for k, g in grads.items():
-                g = g * min(1.0, 5.0 / (norm + 1e-9))
-                m[k] = 0.9 * m[k] + 0.1 * g
-                v[k] = 0.999 * v[k] + 0.001 * g * g
-                w[k] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+    order = np.concatenate([rng.permutation(len(examples)) for _ in range(-(-STEPS * BATCH // len(examples)))])
+    for t in range(1, STEPS + 1):
+        rows = order[(t - 1) * BATCH : t * BATCH]
+        grads = _gradient(tagger, ids[rows].T, tags[rows].T)
+        norm = np.sqrt(sum((g * g).sum() for g in grads.values()))
+        rate = 0.02 * (1 - t / STEPS) + 1e-4
+        for k, g in grads.items():
+            g = g * min(1.0, 5.0 / (norm + 1e-9))
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.999 * v[k] + 0.001 * g * g
+            w[k] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
     return tagger
 
 
