@@ -58,10 +58,11 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def parity_bitmap(values: np.ndarray) -> bytes:
-    """Bit i tells whether an odd number of values fall on i. There are at
-    least twice as many bits as values, so that unlike sets of any size differ
-    in more bits than linked ones may."""
-    bits = max(MIN_BITS, 1 << (2 * len(values) - 1).bit_length())
+    """Bit i tells whether an odd number of values fall on i. There are more
+    than half as many bits as values, so that unlike sets of any size differ in
+    more bits than linked ones may; every tile of a set carries its bitmap, so
+    more bits than that would cost more than they save."""
+    bits = max(MIN_BITS, 1 << (len(values) // 2).bit_length())
     odd = np.bincount((values >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
