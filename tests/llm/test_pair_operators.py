@@ -163,6 +163,50 @@ def test_chains_are_optimal():
             assert abs(found[0][0] - max(best)) < 1e-9
 
 
+@pytest.mark.parametrize("sizes", [(60, 60, 60), (100, 100, 60), (120, 150, 60), (400, 400, 400), (55, 5000, 3000)])
+def test_passages_around_unlike_text(spark, sizes):
+    from voltide.llm import substring_dedup as S
+
+    rng = random.Random(11)
+    words = lambda n: [f"v{rng.randrange(300)}" for _ in range(n)]
+    size, one, two = sizes
+    head, foot = words(size), words(size)
+    a, b = head + words(one) + foot, head + words(two) + foot
+    x = np.array([0, 10, 30, size + one, size + one + 30])
+    y = np.where(x < size, x, x - one + two)
+    u, v = S.aligned_words(*(np.array([int(w[1:]) for w in t], np.uint64) for t in (a, b)), x, y)
+    found = sorted(S.pieces(u, v))
+    assert len(found) == 2
+    for (s, e, t, f, n), at, other in zip(found, (0, size + one), (0, size + two), strict=True):
+        # Chance words next to a passage may be aligned with it.
+        assert abs(s - at) <= 4 and abs(e - at - size) <= 4 and abs(t - other) <= 4 and abs(f - other - size) <= 4 and n >= size
+    d = spark.createDataFrame(doc_rows([(1, " ".join(a)), (2, " ".join(b))]), DOC_SCHEMA)
+    assert S.shared_passages(d).count() == 2
+
+
+def test_common_words_and_pieces(monkeypatch):
+    from voltide.llm import substring_dedup as S
+
+    rng = np.random.default_rng(5)
+    for bits in (1 << 25, 20):
+        monkeypatch.setattr(S, "MAX_BITS", bits)
+        for _ in range(60):
+            a, b = (rng.integers(0, 5, rng.integers(0, 40)).astype(np.uint64) for _ in range(2))
+            best = np.zeros((len(a) + 1, len(b) + 1), int)
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    best[i + 1, j + 1] = best[i, j] + 1 if a[i] == b[j] else max(best[i, j + 1], best[i + 1, j])
+            x, y = S.common_words(a, b)
+            assert len(x) == best[-1, -1] and (a[x] == b[y]).all() and (np.diff(x) > 0).all() and (np.diff(y) > 0).all()
+    # 40 and 40 like words around 11 unlike ones are one passage of 88 percent.
+    x = np.r_[0:40, 51:91]
+    assert S.pieces(x, x) == [(0, 91, 0, 91, 80)]
+    # Of a long stretch of 75 percent the part of 80 percent is found.
+    x = np.r_[np.flatnonzero(np.arange(200) % 4), 200:300]
+    (s, e, *_, n), = S.pieces(x, x)
+    assert e == 300 and 75 <= 300 - s <= 200 + 100 and n >= 0.8 * (e - s)
+
+
 # --- 6 WARC ------------------------------------------------------------------------------
 
 
