@@ -184,6 +184,30 @@ def test_passages_around_unlike_text(spark, sizes):
     assert S.shared_passages(d).count() == 2
 
 
+def test_passages_reach_the_least_copy(spark):
+    from voltide.llm import substring_dedup as S
+
+    rng = random.Random(12)
+    words = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    passage, late = words(60), words(70)
+    copy = words(30) + passage + words(30) + late
+    rows = [(9, copy), (5, copy), (3, words(20) + passage), (7, late + words(40))]
+    d = spark.createDataFrame(doc_rows([(k, " ".join(t)) for k, t in rows]), DOC_SCHEMA).coalesce(1)
+    assert sorted(tuple(r) for r in S.shared_passages(d).collect()) == [(5, 30, 90, 3, 20, 80, 60), (7, 0, 70, 5, 120, 190, 70), (9, 0, 190, 5, 0, 190, 190)]
+
+
+def test_a_row_without_an_id_keeps_no_set_from_the_others(spark):
+    from voltide.llm import jaccard_join as J
+
+    rng = random.Random(13)
+    text = [f"v{rng.randrange(10**6)}" for _ in range(200)]
+    near = [*text[:-1], "other"]
+    rows = [(None, " ".join(text)), (4, " ".join(text)), (8, " ".join(near))]
+    d = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {(r.doc_id, r.component_id) for r in J.similarity_classes(d).collect()}
+    assert got == {(None, 4), (4, 4), (8, 4)}
+
+
 def test_common_words_and_pieces(monkeypatch):
     from voltide.llm import substring_dedup as S
 

@@ -117,17 +117,19 @@ class Bands:
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """Per row: id, set size, digest, bitmap and segment keys (the keys only
-    where a task meets the digest for the first time)."""
+    where a task meets the digest for the first time in a row with an id)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met = Bands(percent), set()
         for batch in batches:
             sizes, digests, bitmaps, keys = [], [], [], []
-            for values in shingle_sets(batch.column("text"), shingle):
+            named = batch.column("id").is_valid().to_pylist()
+            for values, has_id in zip(shingle_sets(batch.column("text"), shingle), named, strict=True):
                 sizes.append(len(values))
                 digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
-                new = digest is not None and digest not in met
-                met.add(digest)
+                new = digest is not None and has_id and digest not in met
+                if new:
+                    met.add(digest)
                 digests.append(digest)
                 bitmaps.append(parity_bitmap(values) if new else None)
                 keys.append(bands.keys(values).view(np.int64) if new else None)
