@@ -184,6 +184,24 @@ def test_passages_around_unlike_text(spark, sizes):
     assert S.shared_passages(d).count() == 2
 
 
+def test_passages_held_in_part_by_earlier_documents(spark):
+    from voltide.llm import substring_dedup as S
+
+    rng = random.Random(14)
+    words = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    one, two, three, four = words(55), words(60), words(120), words(50)
+    texts = {
+        1: words(20) + one[:45] + words(9), 2: words(5) + one + words(30), 3: words(40) + one + words(5),
+        11: two[:35] + words(40), 12: words(40) + two[25:], 13: words(7) + two + words(8), 14: words(30) + two + words(8),
+        21: words(5) + three[:100] + words(5), 22: words(15) + three + words(5), 23: words(3) + three + words(5),
+        31: words(30) + four + words(4), 32: words(2) + four + words(60) + four + words(3),
+    }
+    d = spark.createDataFrame(doc_rows([(k, " ".join(t)) for k, t in texts.items()]), DOC_SCHEMA)
+    got = {tuple(r)[:6] for r in S.shared_passages(d).collect()}
+    assert {(3, 40, 95, 2, 5, 60), (14, 30, 90, 13, 7, 67), (23, 3, 123, 22, 15, 135)} <= got
+    assert {(32, 2, 52, 31, 30, 80), (32, 112, 162, 31, 30, 80)} <= got
+
+
 def test_passages_reach_the_least_copy(spark):
     from voltide.llm import substring_dedup as S
 
