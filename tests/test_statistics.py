@@ -170,3 +170,15 @@ def test_median_fill_and_scale(spark):
     got = [r["x"] for r in prep.apply_prep(df, p).collect()]
     filled = np.array([1, 2, 4, 10, 3.0])
     np.testing.assert_allclose(got, (filled - filled.mean()) / filled.std())
+
+
+def test_h7_takes_the_full_number_of_resamples(monkeypatch):
+    from voltide.catalog import model_queries
+    from voltide.catalog.registry import QUERIES
+
+    seen = []
+    monkeypatch.setattr(model_queries, "predictions", lambda spark, d: None)
+    monkeypatch.setattr(model_queries, "with_category", lambda preds: None)
+    monkeypatch.setattr(model_queries.regimes, "compare_with_best", lambda preds, candidate, n_boot=1000: seen.append(n_boot))
+    QUERIES["h7_compare_with_best"](None, None)
+    assert seen == [1000]
