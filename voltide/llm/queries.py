@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import decontamination, jaccard_join, pii, quality_classifier, quality_rules, quotation, secrets, sentencepiece_bpe, substring_dedup, warc
+from voltide.llm import (
+    best_fit_packing,
+    decontamination,
+    importance_resampling,
+    jaccard_join,
+    pii,
+    quality_classifier,
+    quality_rules,
+    quotation,
+    secrets,
+    sentencepiece_bpe,
+    substring_dedup,
+    tokenizer_alignment,
+    warc,
+)
 from voltide.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,10 +153,14 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
-def piece_model() -> str:
+def vocabulary_file(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
+
+
+def piece_model() -> str:
+    return vocabulary_file("piece_bpe_32k.model")
 
 
 @query("op8_sentencepiece")
@@ -196,3 +214,42 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_tokenizer_alignment")
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_alignment.align_tokenizers(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), piece_model())
+
+
+@query("op12_best_fit_packing")
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
+
+
+_CRC_BYTE = "xor(x >> 8, list_extract(crc_table, 1 + CAST(xor(x & 255, b) AS BIGINT)))"
+
+
+@query(
+    "op13_importance_resampling",
+    rf"""
+    WITH crc AS (SELECT list(v ORDER BY k) crc_table FROM (
+      SELECT k, list_reduce(list_prepend(CAST(k AS BIGINT), CAST(range(8) AS BIGINT[])), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) v FROM range(256) r(k))),
+    doc AS (SELECT doc_id, coalesce({_ALNUM_WORDS.format(lower_ascii("text"))}, []) w FROM documents),
+    corpus AS (SELECT word, count(*) n FROM (SELECT unnest(w) word FROM doc) GROUP BY word),
+    goal AS (SELECT word, count(*) n FROM (SELECT unnest({_ALNUM_WORDS.format(lower_ascii("text"))}) word FROM benchmark) GROUP BY word),
+    word_bytes AS (SELECT word, list_transform(range(0, strlen(word)), lambda k: (instr('0123456789ABCDEF', substr(hex(word), 1 + 2 * k, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hex(word), 2 + 2 * k, 1)) - 1) c
+      FROM (SELECT word FROM corpus UNION SELECT word FROM goal)),
+    hashed AS (SELECT word, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CAST(c AS BIGINT[])), lambda x, b: {_CRC_BYTE})) % 10000 bucket FROM word_bytes, crc),
+    s AS (SELECT bucket, sum(n) n FROM corpus JOIN hashed USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, sum(n) n FROM goal JOIN hashed USING (word) GROUP BY bucket),
+    sums AS (SELECT coalesce((SELECT sum(n) FROM s), 0) all_s, coalesce((SELECT sum(n) FROM t), 0) all_t),
+    gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * (all_s + 10000) AS DOUBLE) / CAST((s.n + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) g FROM s LEFT JOIN t USING (bucket), sums),
+    weights AS (SELECT doc_id, sum(g) weight FROM (SELECT doc_id, unnest(w) word FROM doc) JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+    noise AS (SELECT doc_id, len(w) n_features, CAST(coalesce(weight, 0) AS BIGINT) weight, (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296 u FROM doc LEFT JOIN weights USING (doc_id)),
+    scored AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln(u))) AS BIGINT) score FROM noise),
+    placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) place, count(*) OVER () n FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END rank FROM scored LEFT JOIN placed USING (doc_id)
+    """,
+)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
