@@ -18,7 +18,7 @@ from voltide.llm.queries import piece_model, vocabulary_file
 BYTE_MODEL, WORD_MODEL = vocabulary_file("byte_bpe_50k.json"), vocabulary_file("word_bpe_49k.json")
 ODD_TEXTS = [
     None, "", " ", "\n", "  x", "x  ", " a\n\nb \n c\t d", "a\r\nb;\r\n\r\n);\r x", "tab\tin\x0bside\x0c", "no\xa0break　wide\x85next",
-    "<|endoftext|> and <|startoftext|> <s></s>", "it's we'll I'M they'Ve", "▁ literal ▁mark", "é́ ﬁ ẛ̣ Å", "日本語 🦄🦄\n🦄 ", "\x00 a\x00b \x1c c\x1fd", "aaa " * 5000, "ΑΣ ΣΑΣ. İI", "  \n  \n  ",
+    "<|endoftext|> and <|startoftext|> <s></s>", "a<|EndOfText|>b <|ENDOFTEXT|>", "it's we'll I'M they'Ve", "▁ literal ▁mark", "é́ ﬁ ẛ̣ Å", "日本語 🦄🦄\n🦄 ", "\x00 a\x00b \x1c c\x1fd", "aaa " * 5000, "ΑΣ ΣΑΣ. İI", "  \n  \n  ",
     "1234 5 678,90", "\n\n\nstart", "end\n\n\n", " \n lead", "x" * 3000, "'s 't", "ab" * 700,
 ]
 

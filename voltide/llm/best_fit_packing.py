@@ -10,7 +10,8 @@ ends is packed once more: these pieces are dealt to few tasks by hash, longest
 first, by the same method, so the loss does not grow with the number of tasks.
 
 Chunks of text between white spaces are encoded independently by the tokenizers
-library; a bounded memory holds the ids of chunks met before.
+library, words of Latin letters without its normaliser; a bounded memory holds the
+ids of chunks met before.
 
 Cases: null and empty texts, and texts without a token, are the end id alone;
 repeated rows are packed each; a row with a null id is packed like any other;
@@ -20,8 +21,10 @@ an empty table gives no rows. Only id and text are read.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,10 @@ REST_SEQUENCES = 1_024
 MARK = "\x00"
 #: White space to Python, but not to the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Chunks that a worker remembers.
+MEMORY_CHUNKS = 800_000
+#: Latin letters with one code each, and punctuation after them.
+_PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
 
 class BestFit:
@@ -97,45 +104,80 @@ class WordEncoder:
     """Token ids of chunks between white spaces, as little-endian bytes."""
 
     def __init__(self, model: bytes):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_buffer(model)
-        alone = self._ids([MARK])[0]
-        self.mark = alone[0] if len(alone) == 1 and self._ids([f"a {MARK} b"])[0].count(alone[0]) == 1 else None
-        self.memory = ChunkMemory(self.encode)
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, keys: list[str]) -> tuple[list[bytes]]:
-        plain = lambda k: self.mark is not None and MARK not in k
-        joined = [k for k in keys if plain(k)]
-        found: dict[str, bytes] = {}
-        for at in range(0, len(joined), 512):
-            group = joined[at : at + 512]
-            ids = np.array(self._ids([f" {MARK} ".join(group)])[0], "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
+        # Small Latin letters are normal already and one word to the pattern.
+        self.plain = Tokenizer.from_buffer(model)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        alone = self._ids(self.tokenizer, [MARK])[0]
+        self.mark = alone[0] if len(alone) == 1 and self._ids(self.tokenizer, [f"a {MARK} b"])[0].count(alone[0]) == 1 else None
+        self.memory = ChunkMemory(self.encode, MEMORY_CHUNKS)
+        self.tails: dict[str, bytes] = {"": b""}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, tokenizer, words: list[str], mark: int, between: str) -> list[bytes]:
+        """The ids of words, many to a call with a mark between each two."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 512):
+            group = words[at : at + 512]
+            ids = np.array(self._ids(tokenizer, [f" {between} ".join(group)])[0], "<u4")
+            cuts = np.flatnonzero(ids == mark)
             if len(cuts) != len(group) - 1:
                 raise ValueError("chunks that were encoded together cannot be told apart")
-            raw, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
-            starts = [0, *(4 * cuts + 4).tolist()]
-            found.update(zip(group, [raw[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
-        alone = [k for k in keys if k not in found]
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)], strict=True)]
+        return out
+
+    def encode(self, keys: list[str]) -> tuple[list[bytes]]:
+        # Punctuation after a word is a token sequence of its own.
+        split = [(m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(k)) else None for k in keys]
+        known: dict[str, bytes] = {}
+        for tail in {m[1] for m in split if m} - self.tails.keys():
+            self.tails[tail] = np.array(self._ids(self.tokenizer, [tail])[0], "<u4").tobytes()
+        if self.memory.columns:
+            ids, learned = self.memory.columns[0], self.memory.learned
+            for m in split:
+                if m and (code := self.memory.get(m[0], learned)) < learned:
+                    known[m[0]] = ids[code]
+        stems = list({m[0]: None for m in split if m and m[0] not in known})
+        # A number is never a token of a word of letters.
+        digit = self._ids(self.tokenizer, ["0"])[0]
+        if len(digit) == 1 and self._ids(self.plain, ["0"])[0] == digit:
+            known.update(zip(stems, self._together(self.plain, stems, digit[0], "0"), strict=True))
+        else:
+            known.update((k, np.array(ids, "<u4").tobytes()) for k, ids in zip(stems, self._ids(self.tokenizer, stems), strict=True))
+        others = [k for k, m in zip(keys, split, strict=True) if not m]
+        marked = [k for k in others if self.mark is not None and MARK not in k]
+        found = dict(zip(marked, self._together(self.tokenizer, marked, self.mark, MARK), strict=True))
+        alone = [k for k in others if k not in found]
         if alone:
-            found.update((k, np.array(ids, "<u4").tobytes()) for k, ids in zip(alone, self._ids(alone), strict=True))
-        return ([found[k] for k in keys],)
+            found.update((k, np.array(ids, "<u4").tobytes()) for k, ids in zip(alone, self._ids(self.tokenizer, alone), strict=True))
+        return ([known[m[0]] + self.tails[m[1]] if m else found[k] for k, m in zip(keys, split, strict=True)],)
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
         memory = self.memory
         memory.shrink()
-        split = [t.split() if not any(c in t for c in SEPARATORS) else [t] for t in texts]
-        numbers = [memory.numbers(keys) for keys in split]
-        memory.learn(np.fromiter((c for codes in numbers for c in codes), np.int64))
+        numbers = [memory.numbers(self._chunks(t)) for t in texts]
+        memory.learn(np.fromiter(chain.from_iterable(numbers), np.int64))
         ids = memory.columns[0] if memory.columns else []
         for codes in numbers:
             yield b"".join(map(ids.__getitem__, codes))
 
+    def _chunks(self, text: str) -> list[str]:
+        if any(c in text for c in SEPARATORS):
+            return [text]
+        # Outside ASCII the tokenizer has its own small letters; special tokens are
+        # found before there are any.
+        low = text.lower() if text.isascii() else text
+        return (text if any(t in low for t in self.special) else low).split()
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 

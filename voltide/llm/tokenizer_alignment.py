@@ -33,6 +33,7 @@ import heapq
 import json
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +119,7 @@ class TokenPair:
         good = [b"".join(map(self.a_bytes.__getitem__, x)) == (raw := t.encode()) == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, t in zip(a, b, texts, strict=True)]
         a, b = ([ids if ok else [] for ids, ok in zip(side, good, strict=True)] for side in (a, b))
         n_a, n_b = (np.array([len(ids) for ids in side], np.int64) for side in (a, b))
-        ids_a, ids_b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
         ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
         ends = np.union1d(ends_a, ends_b)
@@ -229,7 +230,7 @@ def encode_documents(docs: DataFrame, model_a: bytes, model_b: bytes, id_col: st
                     run, n_docs, held, n_held = run + RUN_DOCUMENTS, 0, [], 0
                 memory.shrink()
                 numbers = [memory.numbers(spaced_chunks(t)) if t else [] for t in texts]
-                flat = np.fromiter((c for codes in numbers for c in codes), np.int64)
+                flat = np.fromiter(chain.from_iterable(numbers), np.int64)
                 memory.learn(flat)
                 good, n_a, n_b, n_groups, spelled, pairs = memory.columns or ([],) * 6
                 out = {k: [] for k in names[2:7]}
