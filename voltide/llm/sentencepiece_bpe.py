@@ -4,10 +4,10 @@ Encoding keeps a score-ordered agenda of adjacent symbol pairs whose
 concatenation is a piece: the best pair (ties: the leftmost) is merged and its
 new neighbours join the agenda. Symbols that are no piece fall back to bytes.
 
-A text is first cut where no piece can span: before a space mark and around a
-line feed (the vocabulary is searched for pieces that do; if there are any, texts
-stay whole). Merges never cross a cut, so parts are encoded independently, and
-ids of parts met before come from a bounded memory. Each new part is checked against
+A text is first cut where no piece can span: before a word and the spaces or line
+feeds that precede it (the vocabulary is searched for pieces that do; if there are
+any, texts stay whole). Merges never cross a cut, so parts are encoded independently,
+and ids of parts met before come from a bounded memory. Each new part is checked against
 the sentencepiece library, one library call for each Arrow batch; a difference
 raises.
 
@@ -20,19 +20,24 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltide.llm.chunks import ChunkMemory, chunk_text, spaced_chunks, text_batches
+
 SPACE = "▁"
-#: Parts remembered by one worker; the memory is dropped when full.
-MEMORY_PARTS = 400_000
-#: Longer parts are encoded, but not remembered.
-MEMORY_CHARS = 64
+#: Parts that a worker remembers.
+MEMORY_PARTS = 600_000
+#: Symbols up to which a part's agenda is a list.
+SHORT = 48
+#: The rank of a pair that is no piece.
+NEVER = float("inf")
 
 
 def spelled_bytes(raw: bytes) -> str:
@@ -66,25 +71,40 @@ class PieceVocabulary:
         self.byte_ids = {b: i for i, b in self.byte_of.items()}
         self.special = {i for i in range(n) if special[i]}
         self.ids = {p: i for i, p in enumerate(names) if not special[i] and i not in self.byte_of}
+        self.plain = set(self.ids.values())
         self.rank = {p: -sp.get_score(i) for p, i in self.ids.items()}
-        self.part = self._cuts()
-        self.known: dict[str, tuple[str, int, str]] = {}
+        self.whole = self._spans_words()
+        self.memory = ChunkMemory(self.learn, MEMORY_PARTS)
 
     @staticmethod
     def marked(text: str) -> str:
         return SPACE + text.replace(" ", SPACE) if text else ""
 
-    def _cuts(self) -> re.Pattern[str]:
-        """The pattern of parts: between two parts lies no pair of characters
-        that stands inside any piece."""
+    def _spans_words(self) -> bool:
+        """Whether a piece holds a line feed, or a space mark after anything else."""
         pairs = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
-        self.whole = any("\n" in x or (x[1] == SPACE and x[0] != SPACE) for x in pairs)
-        if self.whole:
-            return re.compile(r"(?s).+")
-        return re.compile(rf"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
+        return any("\n" in x or (x[1] == SPACE and x[0] != SPACE) for x in pairs)
+
+    def merge_short(self, part: str) -> list[str]:
+        """As ``merge``, with the agenda as a plain list by place: the least of
+        a few ranks is found sooner than a heap is kept in order."""
+        get, symbols = self.rank.get, list(part)
+        agenda = [get(a + b, NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda and (best := min(agenda)) != NEVER:
+            k = agenda.index(best)
+            both = symbols[k] + symbols.pop(k + 1)
+            symbols[k] = both
+            del agenda[k]
+            if k:
+                agenda[k - 1] = get(symbols[k - 1] + both, NEVER)
+            if k < len(agenda):
+                agenda[k] = get(both + symbols[k + 1], NEVER)
+        return symbols
 
     def merge(self, part: str) -> list[str]:
         """The pieces of a part, by the agenda."""
+        if len(part) <= SHORT:
+            return self.merge_short(part)
         symbols: list[str | None] = list(part)
         n, rank = len(symbols), self.rank
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -109,11 +129,13 @@ class PieceVocabulary:
         return [s for s in symbols if s is not None]
 
     def part_ids(self, part: str) -> list[int]:
-        ids = self.ids
-        if part in ids and len(part) <= 2:
-            return [ids[part]]
+        ids, pieces = self.ids, self.merge(part)
+        try:
+            return [ids[s] for s in pieces]
+        except KeyError:
+            pass
         out = []
-        for s in self.merge(part):
+        for s in pieces:
             if s in ids:
                 out.append(ids[s])
             else:
@@ -121,9 +143,11 @@ class PieceVocabulary:
         return out
 
     def encode(self, text: str) -> list[int]:
-        return [i for part in self.part.findall(self.marked(text)) for i in self.part_ids(part)]
+        return [i for k in self.cut(text) for i in self.part_ids(chunk_text(k).replace(" ", SPACE))]
 
     def _spelled(self, ids: list[int]) -> str:
+        if self.plain.issuperset(ids):
+            return "".join([self.names[i] for i in ids]).replace(SPACE, " ")
         out, raw = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -143,30 +167,37 @@ class PieceVocabulary:
         first = next((i for i in ids if i not in self.special), None)
         return text if first in self.byte_of else text.removeprefix(" ")
 
-    def parts(self, texts: list[str]) -> Iterator[list[tuple[str, int, str]]]:
-        """For each text its parts as (ids as text, number of ids, decoded)."""
-        if len(self.known) > MEMORY_PARTS:
-            self.known.clear()
-        known = self.known
-        split = [self.part.findall(self.marked(t)) for t in texts]
-        new = {p for parts in split for p in parts if p not in known}
-        found = {p: self.part_ids(p) for p in new}
+    def cut(self, text: str) -> list[str]:
+        """The keys of the parts of a text."""
+        if not text:
+            return []
+        text = text.replace(SPACE, " ")
+        return [f" {text}" if text[0] in " \n" else text] if self.whole else spaced_chunks(text)
+
+    def learn(self, keys: list[str]) -> tuple[list[str], list[str]]:
+        """The ids of parts, as text, and what they decode to."""
+        found = {k: self.part_ids(chunk_text(k).replace(" ", SPACE)) for k in keys}
         self._check(found)
-        fresh = {p: (",".join(map(str, ids)), len(ids), self._spelled(ids)) for p, ids in found.items()}
-        known.update((p, x) for p, x in fresh.items() if len(p) <= MEMORY_CHARS)
-        for parts in split:
-            yield [known.get(p) or fresh[p] for p in parts]
+        return [",".join(map(str, ids)) for ids in found.values()], [self._spelled(ids) for ids in found.values()]
+
+    def encoded(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """For each text its ids, comma-joined, and the decoded text."""
+        memory = self.memory
+        memory.shrink()
+        numbers = [memory.numbers(self.cut(t)) for t in texts]
+        memory.learn(np.fromiter(chain.from_iterable(numbers), np.int64))
+        ids, spelled = memory.columns or ([], [])
+        for codes in numbers:
+            yield ",".join(map(ids.__getitem__, codes)), "".join(map(spelled.__getitem__, codes)).removeprefix(" ")
 
     def _check(self, found: dict[str, list[int]]) -> None:
         """Compares parts with the library. It sets a space mark before every
         text; a line feed, which no piece spans, keeps mark and part apart."""
-        if self.whole:
-            lead, texts = [], [p[1:] for p in found]
-        else:
-            lead, texts = self.library.encode("\n"), ["\n" + p.replace(SPACE, " ") for p in found]
-        for (p, ids), have in zip(found.items(), self.library.encode(texts, num_threads=1), strict=True):
+        lead = [] if self.whole else self.library.encode("\n")
+        texts = [chunk_text(k)[1:] if self.whole else "\n" + chunk_text(k) for k in found]
+        for (k, ids), have in zip(found.items(), self.library.encode(texts, num_threads=1), strict=True):
             if lead + ids != have:
-                raise ValueError(f"part {p!r}: {ids} differs from the library's {have[len(lead) :]}")
+                raise ValueError(f"part {chunk_text(k)!r}: {ids} differs from the library's {have[len(lead) :]}")
 
 
 _VOCABULARIES: dict[str, PieceVocabulary] = {}
@@ -191,14 +222,11 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                texts = [t or "" for t in batch.column("text").to_pylist()]
+            for first, texts in text_batches(whole.column("text").to_pylist()):
+                batch = whole.slice(first, len(texts))
                 count, ids_hash, text_hash, ids_out, decoded_out = [], [], [], [], []
-                for parts in vocab.parts(texts):
-                    ids = ",".join([p[0] for p in parts])
-                    decoded = "".join([p[2] for p in parts]).removeprefix(" ")
-                    count.append(sum([p[1] for p in parts]))
+                for ids, decoded in vocab.encoded(texts):
+                    count.append(ids.count(",") + 1 if ids else 0)
                     ids_hash.append(hashlib.sha256(ids.encode()).hexdigest())
                     text_hash.append(hashlib.sha256(decoded.encode()).hexdigest())
                     if with_ids:
