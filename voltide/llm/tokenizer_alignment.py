@@ -49,8 +49,10 @@ SPACE = "▁"
 #: Radix partitions of the B ids.
 RADIX = 256
 #: Records gathered for one set of runs, and documents in it.
-RUN_RECORDS = 6_000_000
+RUN_RECORDS = 2_000_000
 RUN_DOCUMENTS = 1 << 16
+#: Chunks that a worker remembers.
+MEMORY_CHUNKS = 300_000
 #: Runs that one merge reads at a time; what it has merged counts as one.
 FAN_IN = 64
 #: Bytes of a radix partition's runs that one task streams.
@@ -95,7 +97,7 @@ class TokenPair:
         if any(pair[1] == "\n" or (pair[1] == SPACE and pair[0] != SPACE) for pair in inner):
             raise ValueError("only vocabularies without pieces across spaces and line feeds are supported")
         self.line = len(sp.encode("\n"))
-        self.memory = ChunkMemory(self.encode)
+        self.memory = ChunkMemory(self.encode, MEMORY_CHUNKS)
 
     @staticmethod
     def _piece_bytes(sp, i: int) -> bytes:
@@ -134,7 +136,8 @@ class TokenPair:
         groups = [f"{','.join(names_a[p:q])}|{','.join(names_b[r:s])}" for p, q, r, s in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]
         g, k = group_at.tolist(), link_at.tolist()
         spelled = [";".join(groups[p:q]) for p, q in zip(g, g[1:], strict=False)]
-        pairs = [links[p:q].view(np.uint64) for p, q in zip(k, k[1:], strict=False)]
+        raw = links.tobytes()
+        pairs = [raw[8 * p : 8 * q] for p, q in zip(k, k[1:], strict=False)]
         return good, n_a.tolist(), n_b.tolist(), np.diff(group_at).tolist(), spelled, pairs
 
 
@@ -185,18 +188,17 @@ def runs_of(records: np.ndarray, radix: int) -> Iterator[tuple[int, bytes, bytes
     A pair list has B id, A id, number of records and links of each pair; the
     documents of a run are the steps from one to the next, and the links."""
     key, links = combined(records)
-    # Both ids of a pair in one number, the radix partition above them.
-    pair = (key >> np.uint64(DOC_BITS)).astype(np.int64)
-    part = (pair >> ID_BITS) % radix
+    # Low bits of the B id name the radix partition.
+    part = ((key >> np.uint64(DOC_BITS + ID_BITS)) % np.uint64(radix)).astype(np.int32)
     order = np.argsort(part, kind="stable")
-    doc = (key & np.uint64(DOC_MASK)).astype(np.int64)[order]
-    pair, part, links = pair[order], part[order], links[order]
+    part, key, links = part[order], key[order].astype(np.int64), links[order]
+    del order
     at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
     for s, e in zip(at.tolist(), [*at[1:].tolist(), len(part)], strict=True):
-        p, n = pair[s:e], links[s:e]
+        p, doc, n = key[s:e] >> DOC_BITS, key[s:e] & DOC_MASK, links[s:e]
         first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
         listed = packed(p[first] >> ID_BITS, p[first] & ((1 << ID_BITS) - 1), np.diff(np.append(first, len(p))), np.add.reduceat(n, first))
-        yield int(part[s]), listed, packed(np.diff(doc[s:e], prepend=0) & DOC_MASK, n)
+        yield int(part[s]), listed, packed(np.diff(doc, prepend=0) & DOC_MASK, n)
 
 
 def encode_documents(docs: DataFrame, model_a: bytes, model_b: bytes, id_col: str, text_col: str, radix: int) -> DataFrame:
@@ -242,7 +244,7 @@ def encode_documents(docs: DataFrame, model_a: bytes, model_b: bytes, id_col: st
                     for name, value in zip(names[2:7], (a, b, g, a + b - g, digest), strict=True):
                         out[name].append(value)
                     if fine:
-                        held.append(np.concatenate(list(map(pairs.__getitem__, at))) | np.uint64(n_docs + k << LINK_BITS | 1))
+                        held.append(np.frombuffer(b"".join(map(pairs.__getitem__, at)), np.uint64) | np.uint64(n_docs + k << LINK_BITS | 1))
                         n_held += len(held[-1])
                 yield batch_of(id_kind, len(texts), id=ids[first : first + len(texts)], key=[run + n_docs + k for k in range(len(texts))], **out)
                 n_docs += len(texts)
