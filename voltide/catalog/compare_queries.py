@@ -12,6 +12,7 @@ from voltide.catalog.registry import query
 from voltide.functions import scalars
 from voltide.operators import baselines, comparison, metrics, splits, tests_of_fit
 from voltide.operators.features import build_features
+from voltide.plans.resampling import ORDER_SQL, POISSON, draws_sql, hash_sql, poisson_edges
 from voltide.session import scratch_path
 from voltide.settings import SEED
 from voltide.sources import tables
@@ -477,13 +478,9 @@ def _(spark, d):
     return tidy(comparison.bonferroni(comparison.diebold_mariano_matrix(predictions(spark, d), BASELINES)))
 
 
-def _draw(rep: str, i: str) -> str:
-    return f"CAST(concat('0x', substr(md5(concat_ws(',', CAST({rep} AS VARCHAR), CAST({i} AS VARCHAR), '{SEED}')), 1, 8)) AS BIGINT)"
-
-
-BOOT = f"""{PREDS}, num AS (SELECT *, row_number() OVER (ORDER BY series_id, date) - 1 AS idx, count(*) OVER () AS total
-  FROM wf WHERE i >= floor(n * 0.7) + 6),
-draws AS (SELECT rep, {_draw('rep', 'idx')} % total AS idx FROM num, generate_series(1, 1000) g(rep)),
+BOOT_ROWS = f"""{PREDS}, num AS (SELECT *, row_number() OVER (ORDER BY {ORDER_SQL}) - 1 AS idx, count(*) OVER () AS total
+  FROM wf WHERE i >= floor(n * 0.7) + 6)"""
+BOOT = f"""{BOOT_ROWS}, {draws_sql('num', 1000, SEED)},
 boot AS (SELECT rep, sqrt(avg((y_true - naive) ** 2)) AS "Naive", sqrt(avg((y_true - rolling) ** 2)) AS "Rolling Mean",
   sqrt(avg((y_true - ewma) ** 2)) AS "EWMA" FROM draws JOIN num USING (idx) GROUP BY 1)"""
 
@@ -498,22 +495,19 @@ CI = " UNION ALL ".join(ci_sql(m) for m in BASELINES)
 
 @query("v9_bootstrap_ci", f"WITH {BOOT} {CI}")
 def _(spark, d):
-    return tidy(comparison.bootstrap_intervals(predictions(spark, d), BASELINES, metrics.rmse))
+    return tidy(comparison.bootstrap_intervals(predictions(spark, d), BASELINES, metrics.RMSE))
 
 
-_count = " + ".join(
-    f"CASE WHEN u >= {e!r} THEN 1 ELSE 0 END"
-    for e in __import__("itertools").accumulate(2.718281828459045**-1 / __import__("math").factorial(k) for k in range(12))
-)
-POISSON = f"""{BOOT.split(', draws AS')[0].rsplit('draws AS', 1)[0].rstrip().rstrip(',')}, w0 AS (SELECT num.*, rep, {_draw('rep', 'idx')} / 4294967296.0 AS u
+_count = " + ".join(f"CASE WHEN u >= {e!r} THEN 1 ELSE 0 END" for e in poisson_edges())
+POISSON_BOOT = f"""{BOOT_ROWS}, w0 AS (SELECT num.*, rep, {hash_sql(SEED, POISSON, 'rep', 'idx')} / 4294967296.0 AS u
   FROM num, generate_series(1, 1000) g(rep)), w1 AS (SELECT *, {_count} AS c FROM w0),
 boot AS (SELECT rep, {", ".join(f'sqrt(sum(c * (y_true - {c}) ** 2) / sum(c)) AS "{m}"' for m, c in (("Naive", "naive"), ("Rolling Mean", "rolling"), ("EWMA", "ewma")))}
   FROM w1 GROUP BY 1)"""
 
 
-@query("v9_bootstrap_ci_poisson", f"WITH {POISSON} {CI}")
+@query("v9_bootstrap_ci_poisson", f"WITH {POISSON_BOOT} {CI}")
 def _(spark, d):
-    return tidy(comparison.bootstrap_intervals(predictions(spark, d), BASELINES, metrics.rmse, method="poisson"))
+    return tidy(comparison.bootstrap_intervals(predictions(spark, d), BASELINES, metrics.RMSE, method="poisson"))
 
 
 @query(
@@ -522,14 +516,14 @@ def _(spark, d):
 )
 def _(spark, d):
     preds = predictions(spark, d)
-    intervals = comparison.bootstrap_intervals(preds, BASELINES, metrics.rmse)
+    intervals = comparison.bootstrap_intervals(preds, BASELINES, metrics.RMSE)
     return tidy(metrics.master_table(with_category(preds), intervals))
 
 
 V14 = f"""{SCORES}, wide AS (SELECT series_id, date, max(y_true) AS y_true, max(y_score) FILTER (WHERE model = 'rsi') AS a,
     max(y_score) FILTER (WHERE model = 'range') AS b FROM scores GROUP BY 1, 2),
-num AS (SELECT *, row_number() OVER (ORDER BY series_id, date) - 1 AS idx, count(*) OVER () AS total FROM wide),
-draws AS (SELECT CAST(rep AS INT) AS rep, {_draw('rep', 'idx')} % total AS idx FROM num, generate_series(1, 200) g(rep)),
+num AS (SELECT *, row_number() OVER (ORDER BY {ORDER_SQL}) - 1 AS idx, count(*) OVER () AS total FROM wide),
+{draws_sql('num', 2000, SEED)},
 taken AS (SELECT rep, y_true, a, b FROM draws JOIN num USING (idx) UNION ALL SELECT 0, y_true, a, b FROM num),
 long AS (SELECT rep, 'a' AS side, a AS s, y_true FROM taken UNION ALL SELECT rep, 'b', b, y_true FROM taken),
 cnt AS (SELECT rep, side, s, count(*) FILTER (WHERE y_true = 1) AS p, count(*) FILTER (WHERE y_true = 0) AS q FROM long GROUP BY 1, 2, 3),
@@ -544,4 +538,4 @@ z AS (SELECT max(d) FILTER (WHERE rep = 0) AS delta_auc, stddev_pop(d) FILTER (W
     f"WITH {V14} SELECT {rr(('delta_auc', 'sd'), 5)}, n_boot, {r('delta_auc / sd', 'z', 5)}, {r(normal_p_sql('(delta_auc / sd)'), 'p_value', 5)} FROM z",
 )
 def _(spark, d):
-    return tidy(comparison.bootstrap_auc_difference(scores(spark, d), "rsi", "range", n_boot=200), 5)
+    return tidy(comparison.bootstrap_auc_difference(scores(spark, d), "rsi", "range"), 5)

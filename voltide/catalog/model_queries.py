@@ -277,7 +277,7 @@ def _(spark, d):
     table, mixture = _mixture(spark, d)
     test = table.where(F.col("split") == "test")
     two = regimes.fit_regime_mixture(table, X, router_trees=TREES, n_regimes=2)
-    preds = regimes.ablations(mixture, test).unionByName(two.predict(test, name="HVRF (2 regimes)"))
+    preds = regimes.ablations(mixture, test).unionByName(two.predict(test, name="Regime Mixture (2 regimes)"))
     return metrics.regression_metrics(preds)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.scalars import hash_draw, hash_uniform
-from voltide.operators.comparison import numbered_rows
+from voltide.plans.resampling import numbered_rows
 from voltide.operators.models import Model, fit_model
 from voltide.operators.metrics import auc, classification_metrics
 from voltide.operators.neighbours import nearest_neighbours, vectors

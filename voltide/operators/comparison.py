@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltide.functions.scalars import hash_draw, hash_uniform, normal_two_sided, ratio
+from voltide.functions.scalars import normal_two_sided, ratio
 from voltide.plans.layout import block_window, blocked, with_row_index, without_halo
 from voltide.plans.ranking import running_totals
+from voltide.plans.resampling import SumMetric, replicate_aucs, weighted_sums
 from voltide.settings import BOOTSTRAPS, CONFIDENCE, SEED
 
 ROW = ("series_id", "date")
@@ -205,74 +206,24 @@ def bonferroni(pairs: DataFrame, alpha: float = 0.05, keys: Sequence[str] = ())
     )
 
 
-Metric = Callable[[Column, Column], Column]
-
-
-def numbered_rows(wide: DataFrame) -> DataFrame:
-    """Place of each row over all series (``idx``) and their number (``total``)."""
-    rows = with_row_index(wide)
-    sizes = rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("_size"))
-    order = Window.partitionBy(F.lit(0)).orderBy("series_id")
-    # One row per series: an aggregated table, not data rows.
-    sizes = sizes.select(
-        "series_id",
-        F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
-        F.sum("_size").over(Window.partitionBy(F.lit(0))).alias("total"),
-    )
-    return rows.join(sizes, "series_id").withColumn("idx", F.col("_start") + F.col("row_idx")).drop("_start", "row_idx", "n_rows")
-
-
-def resamples(wide: DataFrame, columns: Sequence[str], n_boot: int, seed: int, method: str) -> DataFrame:
-    """Rows of ``n_boot`` resamples with a ``rep`` column.
-
-    ``draws``: each replicate draws as many row numbers as there are rows,
-    with replacement, by a portable hash. ``poisson``: each row enters a
-    replicate a Poisson(1) number of times, which needs no join and is the
-    choice for very large tables.
-    """
-    rows = numbered_rows(wide)
-    reps = F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep")
-    if method == "poisson":
-        # Cumulative Poisson(1) probabilities; the tail above 12 is below 1e-10.
-        edges, total, term = [], 0.0, 2.718281828459045**-1
-        for k in range(12):
-            total += term
-            edges.append(total)
-            term /= k + 1
-        steps = F.array(*[F.lit(e) for e in edges])
-        # Binding the draw as a lambda variable evaluates its hash once a row.
-        count = F.get(
-            F.transform(
-                F.array(hash_uniform("rep", "idx", seed)), lambda u: F.size(F.filter(steps, lambda e: u >= e))
-            ),
-            0,
-        )
-        copies = rows.select("idx", *columns, reps)
-        return copies.withColumn("_c", F.explode(F.slice(F.sequence(F.lit(1), F.lit(12)), F.lit(1), count)))
-    if method != "draws":
-        raise ValueError("method must be 'draws' or 'poisson'")
-    draws = rows.select(F.col("idx").alias("i"), "total", reps)
-    draws = draws.select("rep", (hash_draw("rep", "i", seed) % F.col("total")).alias("idx"))
-    return draws.join(rows.select("idx", *columns), "idx")
-
-
 def bootstrap_intervals(
     preds: DataFrame,
     models: Sequence[str],
-    metric: Metric,
+    metric: SumMetric,
     n_boot: int = BOOTSTRAPS,
     level: float = CONFIDENCE,
     seed: int = SEED,
     method: str = "draws",
     value: str = "y_pred",
 ) -> DataFrame:
-    """Percentile interval of any aggregate metric, e.g.
-    ``lambda y, p: F.sqrt(F.avg((y - p) ** 2))``. All models see the same
-    resamples."""
+    """Percentile interval of any metric of sums, e.g. ``metrics.RMSE``. All
+    models see the same resamples."""
     names = [f"m{i}" for i in range(len(models))]
-    wide = wide_by_model(preds, models, F.col(value))
-    drawn = resamples(wide, ["y_true", *names], n_boot, seed, method)
-    scores = drawn.groupBy("rep").agg(*[metric(F.col("y_true"), F.col(n)).alias(n) for n in names])
+    wide = wide_by_model(preds, models, F.col(value)).withColumn("y_true", F.col("y_true").cast("double"))
+    terms = {f"{n}_{k}": t for n in names for k, t in enumerate(metric.terms(F.col("y_true"), F.col(n)))}
+    sums = weighted_sums(wide, terms, n_boot, seed, method)
+    of_model = lambda n: [F.col(c) for c in terms if c.startswith(f"{n}_")]
+    scores = sums.select("rep", *[metric.value(F.col("weight"), of_model(n)).alias(n) for n in names])
     low, high = (1 - level) / 2, (1 + level) / 2
     per_model = [
         F.struct(
@@ -295,15 +246,9 @@ def bootstrap_auc_difference(
     """Paired resamples of two AUCs; z = difference / sd of resampled
     differences. Replicates with a single class are left out."""
     wide = wide_by_model(preds, [model_a, model_b], F.col("y_score"))
-    everything = numbered_rows(wide).select(F.lit(0).alias("rep"), "y_true", "m0", "m1")
-    drawn = resamples(wide, ["y_true", "m0", "m1"], n_boot, seed, method).select("rep", "y_true", "m0", "m1")
-    rows = everything.unionByName(drawn)
-    long = rows.unpivot(["rep", "y_true"], ["m0", "m1"], "side", "y_score")
-    from voltide.operators.metrics import auc
-
-    areas = auc(long, ["rep", "side"])
+    areas = replicate_aucs(wide, "y_true", ["m0", "m1"], n_boot, seed, method)
     per_rep = areas.groupBy("rep").agg(
-        (F.max(F.when(F.col("side") == "m0", F.col("auc"))) - F.max(F.when(F.col("side") == "m1", F.col("auc")))).alias("d")
+        (F.max(F.when(F.col("side") == 0, F.col("auc"))) - F.max(F.when(F.col("side") == 1, F.col("auc")))).alias("d")
     )
     out = per_rep.agg(
         F.max(F.when(F.col("rep") == 0, F.col("d"))).alias("delta_auc"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.scalars import hash_draw
-from voltide.operators.comparison import numbered_rows
+from voltide.plans.resampling import numbered_rows
 from voltide.operators.models import Fitted
 from voltide.plans.ranking import column_quantiles, running_totals
 from voltide.session import scratch_path

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voltide.functions.scalars import ratio
 from voltide.plans.ranking import running_totals
+from voltide.plans.resampling import SumMetric
 
 # Qualitative complexity of each model, 0 to 5.
 COMPLEXITY = {
@@ -20,7 +21,7 @@ COMPLEXITY = {
     "SVR": 3, "SVM": 3,
     "XGBoost": 3, "LightGBM": 3, "CatBoost": 3,
     "MLP": 4, "LSTM": 5,
-    "HVRF": 5,
+    "Regime Mixture": 5,
 }
 DEFAULT_COMPLEXITY = 3
 
@@ -33,6 +34,14 @@ def mae(y: Column, p: Column) -> Column:
     return F.avg(F.abs(y - p))
 
 
+#: The metrics as functions of weighted sums, for the bootstrap.
+RMSE = SumMetric(lambda y, p: [(y - p) * (y - p)], lambda n, s: F.sqrt(F.try_divide(s[0], n)))
+MAE = SumMetric(lambda y, p: [F.abs(y - p)], lambda n, s: F.try_divide(s[0], n))
+R2 = SumMetric(
+    lambda y, p: [(y - p) * (y - p), y, y * y], lambda n, s: 1.0 - F.try_divide(s[0], s[2] - F.try_divide(s[1] * s[1], n))
+)
+
+
 def r2(y: Column, p: Column) -> Column:
     """1 - SSE/SST over the rows that have a prediction."""
     known = F.when(p.isNotNull(), y)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltide.operators.comparison import bootstrap_intervals, diebold_mariano_matrix
-from voltide.operators.metrics import best_of_group, regression_metrics, rmse
+from voltide.operators.metrics import RMSE, best_of_group, regression_metrics
 from voltide.operators.models import Fitted, Model, boosting, fit_model, rbf_svr, ridge
 from voltide.operators.prep import fit_pipeline, fit_prep
 from voltide.operators.targets import add_regime_target
@@ -78,7 +78,7 @@ class RegimeMixture:
             out = fitted.pipeline.transform(out).select(*before, F.col("prediction").alias(f"f_{r}"))
         return out
 
-    def predict(self, df: DataFrame, how: str = "soft", name: str = "HVRF", label: str = "target_vol_7") -> DataFrame:
+    def predict(self, df: DataFrame, how: str = "soft", name: str = "Regime Mixture", label: str = "target_vol_7") -> DataFrame:
         return mixture_predictions(self.components(df), self.regimes, how, name, label)
 
 
@@ -139,7 +139,7 @@ def ablations(mixture: RegimeMixture, table: DataFrame, label: str = "target_vol
     parts = mixture.components(table)
     out = None
     for how in ("soft", "argmax", "uniform"):
-        one = mixture_predictions(parts, mixture.regimes, how, f"HVRF ({how})", label)
+        one = mixture_predictions(parts, mixture.regimes, how, f"Regime Mixture ({how})", label)
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -151,7 +151,7 @@ def compare_with_best(preds: DataFrame, candidate: str, n_boot: int = 1000) -> D
     rivals = best_of_group(scored.where(F.col("model") != candidate))
     names = sorted({candidate, *[r["model"] for r in rivals.collect()]})
     chosen = preds.where(F.col("model").isin(names))
-    intervals = bootstrap_intervals(chosen, names, rmse, n_boot=n_boot).select("model", "ci_lower", "ci_upper")
+    intervals = bootstrap_intervals(chosen, names, RMSE, n_boot=n_boot).select("model", "ci_lower", "ci_upper")
     pairs = diebold_mariano_matrix(chosen, names).where(F.col("model_a") == candidate)
     pairs = pairs.select(F.col("model_b").alias("model"), "dm_stat", "p_value")
     table = scored.where(F.col("model").isin(names)).select("category", "model", "rmse")
