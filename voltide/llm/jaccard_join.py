@@ -11,10 +11,12 @@ bits never exceeds the symmetric difference. Pairs that survive are compared by
 exact intersection of the sorted sets.
 
 Two passes keep the number of comparisons linear where copies abound and still
-lose no link. The first takes from each tile a spanning forest of the pairs that
-the bitmaps allow; the second takes every allowed pair that still lies between
-different components and was not compared before. Large tiles are cut into
-blocks of members by hash, block against block.
+lose no link. The first pairs each member of a tile with the least one: the tiles
+that copies share name the same pairs over and over, so few distinct pairs are
+left, and bitmaps are looked up for these alone. The second takes every pair
+that the bitmaps allow in a tile, lies between different components and was
+not compared before. Large tiles are cut into blocks of members by hash, block
+against block.
 
 Cases: null and empty texts, and texts without a word, have no shingle and link
 with nothing; a text of fewer words than a shingle is one shingle; repeated rows
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.llm.components import connected_components
@@ -44,6 +46,10 @@ MIN_BITS = 512
 BAND_RATIO = 1.5
 TILE_BLOCK = 256
 BATCH_BYTES = 8 << 20
+#: Segment keys that a task holds before it looks for those met twice.
+HELD_KEYS = 1 << 21
+#: What a task knows of a key and row.
+SINGLE, MARK, MEMBER = 0, 1, 2
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -115,55 +121,122 @@ class Bands:
         return mix(np.concatenate(out))
 
 
+def known_tiles(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the keys of some rows: tile, row and kind. A key that two rows have is a
+    tile already: its members are ``MEMBER``, and one ``MARK`` tells other tasks.
+    Any other is a tile only if another task has it too (``SINGLE``)."""
+    order = np.lexsort((rows, keys))
+    keys, rows = keys[order], rows[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
+    keys, rows = keys[fresh], rows[fresh]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(keys)))
+    kind = np.repeat(np.where(size > 1, MEMBER, SINGLE), size)
+    marks = first[size > 1]
+    return np.concatenate([keys, keys[marks]]), np.concatenate([rows, rows[marks]]), np.concatenate([kind, np.full(len(marks), MARK)])
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """Per row: id, set size, digest, bitmap and segment keys (the keys only
-    where a task meets the digest for the first time in a row with an id)."""
+    """Per row: id, set size, digest and bitmap (where a task meets the digest for
+    the first time in a row with an id); and for the segment keys of these rows
+    ``tile``, id and ``kind`` (see ``known_tiles``)."""
+    names = ["id", "n", "digest", "bitmap", "tile", "kind"]
+    kinds = [None, pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int8()]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, met = Bands(percent), set()
+        bands, met, held, held_ids, n_held, id_kind = Bands(percent), set(), [], [], 0, None
+
+        def batch_of(n: int, **columns) -> pa.RecordBatch:
+            arrays = [pa.array(columns[k], t or id_kind) if k in columns else pa.nulls(n, t or id_kind) for k, t in zip(names, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            keys, at, kind = known_tiles(np.concatenate(held), np.repeat(np.arange(len(held)), [len(k) for k in held]))
+            ids = pa.array(held_ids, id_kind)
+            for k in range(0, len(keys), 1 << 16):
+                part = slice(k, k + (1 << 16))
+                yield batch_of(len(keys[part]), id=ids.take(pa.array(at[part])), tile=keys[part].view(np.int64), kind=kind[part])
+
         for batch in batches:
-            sizes, digests, bitmaps, keys = [], [], [], []
-            named = batch.column("id").is_valid().to_pylist()
-            for values, has_id in zip(shingle_sets(batch.column("text"), shingle), named, strict=True):
+            id_kind = batch.schema.field("id").type
+            sizes, digests, bitmaps = [], [], []
+            ids = batch.column("id").to_pylist()
+            for values, own in zip(shingle_sets(batch.column("text"), shingle), ids, strict=True):
                 sizes.append(len(values))
                 digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
-                new = digest is not None and has_id and digest not in met
-                if new:
-                    met.add(digest)
+                new = digest is not None and own is not None and digest not in met
                 digests.append(digest)
                 bitmaps.append(parity_bitmap(values) if new else None)
-                keys.append(bands.keys(values).view(np.int64) if new else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bitmaps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "n", "digest", "bitmap", "keys"],
-            )
+                if new:
+                    met.add(digest)
+                    held.append(bands.keys(values))
+                    held_ids.append(own)
+                    n_held += len(held[-1])
+                if n_held > HELD_KEYS:
+                    yield from flush()
+                    held, held_ids, n_held = [], [], 0
+            yield batch_of(len(ids), id=ids, n=sizes, digest=digests, bitmap=bitmaps)
+        if held:
+            yield from flush()
 
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = d.schema["id"].dataType.simpleString()
-    return d.mapInArrow(rows, f"id {kind}, n long, digest binary, bitmap binary, keys array<long>")
+    return d.mapInArrow(rows, f"id {kind}, n long, digest binary, bitmap binary, tile long, kind byte")
 
 
 def tiles_of(sketches: DataFrame) -> DataFrame:
-    """``tile``, ``id``, ``n_members``: the tiles with two members or more; of
-    tiles with the same members only one."""
-    keys = sketches.where(F.col("keys").isNotNull() & F.col("id").isNotNull()).select(F.explode("keys").alias("tile"), "id")
-    # Written, so that the join below gets shuffles of its own and Spark can split a hot tile.
-    shared = materialize(keys.groupBy("tile").agg(F.count("*").alias("n")).where("n > 1").select("tile"), "shared-tiles")
+    """``tile``, ``id``, ``n_members``, ``least``: the tiles with two members or
+    more; of tiles with the same members only one.
+
+    A key reaches the shuffle once for each task that has it (and its flush), so a
+    key of very many rows is no large group there."""
+    found = sketches.where("tile IS NOT NULL").select("tile", "id", "kind")
+    tile = Window.partitionBy("tile")
+    single = found.where(F.col("kind") != MEMBER).withColumns({"_n": F.count(F.lit(1)).over(tile), "_known": F.max("kind").over(tile)})
+    single = single.where((F.col("kind") == SINGLE) & ((F.col("_n") > 1) | (F.col("_known") == MARK)))
+    members = found.where(F.col("kind") == MEMBER).select("tile", "id").union(single.select("tile", "id"))
+    members = materialize(members.distinct(), "tile-members")
     release(sketches.sparkSession)
-    members = materialize(keys.join(shared, "tile").distinct(), "tile-members")
-    release(sketches.sparkSession)
-    same = members.groupBy("tile").agg(F.count("*").alias("n_members"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("g"))
-    once = same.where("n_members > 1").groupBy("n_members", "h", "g").agg(F.min("tile").alias("tile")).select("tile", "n_members")
-    tiles = materialize(members.join(once, "tile"), "tiles")
-    discard(shared, members)
+    same = members.groupBy("tile").agg(
+        F.count("*").alias("n_members"), F.min("id").alias("least"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("g")
+    )
+    once = same.where("n_members > 1").groupBy("n_members", "least", "h", "g").agg(F.min("tile").alias("tile")).select("tile", "n_members", "least")
+    tiles = materialize(members.join(materialize(once, "distinct-tiles"), "tile"), "tiles")
+    discard(members)
     release(sketches.sparkSession)
     return tiles
 
 
-def candidates(tiles: DataFrame, sketches: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs of tile members, not of one component, that the bitmaps allow:
-    a spanning forest of them for each block pair, or all."""
-    marks = sketches.where(F.col("bitmap").isNotNull()).groupBy("id").agg(F.max(F.struct("n", "bitmap")).alias("s")).select("id", "s.*")
+def bitmaps_of(sketches: DataFrame) -> DataFrame:
+    """``id``, ``n``, ``bitmap`` of the set of each id that has one."""
+    return sketches.where(F.col("bitmap").isNotNull()).groupBy("id").agg(F.max(F.struct("n", "bitmap")).alias("s")).select("id", "s.*")
+
+
+def least_pairs(tiles: DataFrame) -> DataFrame:
+    """``x``, ``y``: each member of a tile with the least one."""
+    return tiles.where("id <> least").select(F.col("least").alias("x"), F.col("id").alias("y")).distinct()
+
+
+def allowed_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps leave room for enough overlap."""
+    marks = bitmaps_of(sketches)
+    side = lambda k: marks.select(F.col("id").alias(k), F.struct("n", "bitmap").alias(f"{k}_s"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(f"{k}_s") for k in "xy")
+            n, m = (c.field("n").to_numpy(zero_copy_only=False) for c in (a, b))
+            differ = np.array([np.bitwise_count(np.bitwise_xor(*folded(list(two)))).sum() for two in zip(a.field("bitmap").to_pylist(), b.field("bitmap").to_pylist(), strict=True)], np.int64)
+            most = np.minimum((n + m - differ) // 2, np.minimum(n, m))
+            yield batch.select(["x", "y"]).filter(pa.array((100 + percent) * most >= percent * (n + m)))
+
+    return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "x_s", "y_s").mapInArrow(check, pairs.schema)
+
+
+def candidates(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of tile members, not of one component, that the bitmaps allow."""
+    marks = bitmaps_of(sketches)
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     other = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), F.col("block"))
@@ -181,7 +254,7 @@ def candidates(tiles: DataFrame, sketches: DataFrame, percent: int, forest: bool
             bitmaps = flat.field("bitmap").to_pylist()
             xs, ys = [], []
             for a, b in zip(at[:-1], at[1:], strict=True):
-                x, y = allowed(comps[a:b], n[a:b], folded(bitmaps[a:b]), percent, forest)
+                x, y = allowed(comps[a:b], n[a:b], folded(bitmaps[a:b]), percent)
                 xs.append(ids[a + x])
                 ys.append(ids[a + y])
             x, y = np.concatenate(xs), np.concatenate(ys)
@@ -191,32 +264,17 @@ def candidates(tiles: DataFrame, sketches: DataFrame, percent: int, forest: bool
     return groups.mapInArrow(pairs, f"x {kind}, y {kind}").distinct()
 
 
-def allowed(comps: np.ndarray, n: np.ndarray, words: np.ndarray, percent: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+def allowed(comps: np.ndarray, n: np.ndarray, words: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs between components whose overlap may be large enough."""
-    found = []
+    xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(len(n) - 1):
         differ = np.bitwise_count(words[i] ^ words[i + 1 :]).sum(1, dtype=np.int64)
         both = n[i] + n[i + 1 :]
         most = np.minimum((both - differ) // 2, np.minimum(n[i], n[i + 1 :]))
         j = np.flatnonzero((comps[i] != comps[i + 1 :]) & ((100 + percent) * most >= percent * both))
-        found.append((np.full(len(j), i), j + i + 1, differ[j]))
-    x, y, differ = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-    if not forest:
-        return x, y
-    root = {c: c for c in comps.tolist()}
-
-    def top(c):
-        while root[c] != c:
-            root[c] = c = root[root[c]]
-        return c
-
-    keep = []
-    for k in np.argsort(differ, kind="stable").tolist():
-        a, b = top(comps[x[k]].item()), top(comps[y[k]].item())
-        if a != b:
-            root[a] = b
-            keep.append(k)
-    return x[keep], y[keep]
+        xs.append(np.full(len(j), i))
+        ys.append(j + i + 1)
+    return np.concatenate(xs), np.concatenate(ys)
 
 
 def linked(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -238,8 +296,9 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Per row: id, ``n_shingles``, ``component_id`` (the least id linked with
     it, directly or not)."""
     sketches = materialize(sketch(docs, id_col, text_col, shingle, percent), "sketches")
-    first = materialize(sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "set-classes")
-    rows = materialize(sketches.select("id", "n", "digest").join(first, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "set-rows")
+    of_rows = sketches.where("tile IS NULL")
+    first = materialize(of_rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "set-classes")
+    rows = materialize(of_rows.select("id", "n", "digest").join(first, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "set-rows")
     rep = rows.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("rep").alias("rep"))
 
     tiles = tiles_of(sketches)
@@ -251,18 +310,21 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ends = pairs.join(rep.select(F.col("id").alias("x"), F.col("rep").alias("u")), "x")
         return ends.join(rep.select(F.col("id").alias("y"), F.col("rep").alias("v")), "y").select("u", "v")
 
-    labelled = tiles.join(rep, "id")
-    tried = materialize(candidates(labelled.withColumnRenamed("rep", "component"), sketches, percent, True), "forest-pairs")
-    links = materialize(by_rep(linked(tried, texts, shingle, percent)), "forest-links")
-    found = materialize(connected_components(links), "forest-components")
+    tried = materialize(least_pairs(tiles), "least-pairs")
+    likely = materialize(allowed_pairs(tried, sketches, percent), "likely-pairs")
+    release(docs.sparkSession)
+    links = materialize(by_rep(linked(likely, texts, shingle, percent)), "first-links")
+    found = materialize(connected_components(links), "first-components")
+    release(docs.sparkSession)
 
+    labelled = tiles.join(rep, "id")
     labelled = labelled.join(found, labelled["rep"] == found["node"], "left").select("tile", "id", "n_members", F.coalesce("component", "rep").alias("component"))
     labelled = materialize(labelled.where("n_members > 2"), "labelled-tiles")
     open_tiles = labelled.groupBy("tile").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("tile")
-    rest = candidates(labelled.join(open_tiles, "tile", "left_semi"), sketches, percent, False).join(tried, ["x", "y"], "left_anti")
+    rest = candidates(labelled.join(open_tiles, "tile", "left_semi"), sketches, percent).join(tried, ["x", "y"], "left_anti")
     more = materialize(by_rep(linked(rest, texts, shingle, percent)), "more-links")
     found = connected_components(links.union(more))
-    discard(first, sketches, tiles, texts, tried, labelled, links, more)
+    discard(first, sketches, tiles, texts, tried, likely, labelled, links, more)
 
     out = rows.join(found, rows["rep"] == found["node"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
@@ -271,8 +333,12 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, with one row left of each component:
     the one with its least id. Texts without a word stay; of rows that share an
-    id one stays; rows with a null id, which name no document, all stay."""
+    id the one with the greatest text stays; rows with a null id, which name no document, all stay."""
     found = similarity_classes(docs, id_col, text_col, **options)
     least = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    one = docs.join(least, id_col, "left_semi").dropDuplicates([id_col])
+    # Of rows that share an id the greatest text was compared, so it stays; further
+    # ties fall by a hash of all columns.
+    own = Window.partitionBy(id_col).orderBy(F.col(text_col).desc_nulls_last(), F.xxhash64(*docs.columns))
+    place = "_place_of_row"
+    one = docs.join(least, id_col, "left_semi").withColumn(place, F.row_number().over(own)).where(F.col(place) == 1).drop(place)
     return one.unionByName(docs.where(F.col(id_col).isNull()))
