@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from voltide.functions.scalars import chi2_tail, chi2_tail_even, normal_quantile, normal_two_sided, ratio
 from voltide.plans.gram import gram_table, least_squares
 from voltide.plans.layout import block_window, blocked, with_row_index, without_halo
-from voltide.plans.ranking import running_totals
+from voltide.plans.ranking import bucket_of, running_totals
 from voltide.session import materialize
 
 KEYS = ("series_id", "model")
@@ -108,77 +108,143 @@ def white(
     return out.withColumn("p_value", chi2_tail("statistic", (F.col("n_terms") - 1).cast("double")))
 
 
-BDS_TILE = 1024
+#: Values that a bucket of a close-pair count wants, and cells of its count table at most.
+BDS_ROWS, BDS_CELLS = 2048, 1 << 22
 
 
-def bds(preds: DataFrame, max_dim: int = 3, distance: float = 1.5, keys: Sequence[str] = KEYS) -> DataFrame:
-    """BDS statistic for dimensions 2 to ``max_dim``.
+def close_counts(points: DataFrame, max_dim: int, eps: str, keys: Sequence[str], bucket_rows: int = BDS_ROWS) -> DataFrame:
+    """``close1`` .. ``close<max_dim>`` of each row of ``keys, row_idx, e0 ..``: how
+    many rows of its group (itself included) lie nearer than ``eps`` in the first m
+    values.
 
-    The correlation integrals compare all pairs of a series, which is
-    quadratic by definition. The comparison is cut into tiles of
-    ``BDS_TILE`` x ``BDS_TILE`` rows; a tile returns counts and never pairs.
-    """
+    Values are cut into buckets by quantiles of the group. The range of a row around
+    a value ends in two buckets, which are searched row by row; buckets between lie in it
+    whole. So a row is compared with the rows of the two end buckets of each value in turn,
+    where earlier values lie in whole buckets; and what lies in whole buckets in all
+    values comes from running sums of a count table. Pairs are counted, never made."""
     import numpy as np
     import pandas as pd
 
+    keys, dims = list(keys), range(max_dim)
+    longest = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    buckets = 1
+    while 2 * buckets <= longest / bucket_rows and (2 * buckets) ** max_dim <= min(BDS_CELLS, max(longest, 2**max_dim)):
+        buckets *= 2
+    shares = [i / buckets for i in range(1, buckets)] or [0.5]
+    borders = points.groupBy(*keys).agg(F.percentile_approx("e0", shares, 10_000).alias("_borders"))
+    at = lambda v: bucket_of(v, F.col("_borders"), buckets).cast("int") if buckets > 1 else F.when(v.isNotNull(), F.lit(0))
+    values = [F.col(f"e{s}") for s in dims]
+    cells = points.join(borders, keys).select(
+        *keys, "row_idx", F.col(eps).alias("eps"), F.array(*values).alias("e"),
+        *[F.transform(F.array(*[v + d for v in values]), lambda v: F.when(v.isNotNull(), at(v))).alias(n) for n, d in (("cell", 0.0), ("low", -F.col(eps)), ("high", F.col(eps)))],
+    )
+    cells = materialize(cells, "close-cells")
+    places = F.array(*[F.struct(F.lit(s).alias("dim"), F.get("cell", s).alias("place")) for s in dims])
+    ends = F.array(*[F.struct(F.lit(s).alias("dim"), F.get(n, s).alias("place")) for s in dims for n in ("low", "high")])
+    own = cells.select("*", F.explode(places).alias("_p"), F.lit(False).alias("asks"))
+    asking = cells.select("*", F.explode(F.array_distinct(ends)).alias("_p"), F.lit(True).alias("asks"))
+    both = own.unionByName(asking).select("*", "_p.dim", "_p.place").where(F.col("place").isNotNull()).drop("_p")
+    names = [f"close{m}" for m in range(1, max_dim + 1)]
+
+    def table(group: pd.DataFrame, name: str) -> np.ndarray:
+        return np.array([[np.nan if v is None else v for v in row] for row in group[name]], dtype=float).reshape(len(group), max_dim)
+
+    def search(group: pd.DataFrame) -> pd.DataFrame:
+        dim, asks = int(group["dim"].iloc[0]), group["asks"].to_numpy(bool)
+        points_, queries = group[~asks], group[asks]
+        e, cell = table(points_, "e"), table(points_, "cell")
+        x, low, high, width = table(queries, "e"), table(queries, "low"), table(queries, "high"), queries["eps"].to_numpy(float)
+        out = np.zeros((len(queries), max_dim), np.int64)
+        for k in range(0, len(queries), 512):
+            part = slice(k, k + 512)
+            with np.errstate(invalid="ignore"):
+                near = np.ones((len(x[part]), len(e)), bool)
+                for s in range(dim):
+                    near &= (cell[None, :, s] > low[part, s, None]) & (cell[None, :, s] < high[part, s, None])
+                for s in range(dim, max_dim):
+                    near &= np.abs(e[None, :, s] - x[part, s, None]) < width[part, None]
+                    out[part, s] = near.sum(1)
+        frame = queries[[*keys, "row_idx"]].reset_index(drop=True)
+        for s, name in enumerate(names):
+            frame[name] = out[:, s]
+        return frame
+
+    key_types = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{key_types}, row_idx long, " + ", ".join(f"{n} long" for n in names)
+    counted = both.groupBy(*keys, "dim", "place").applyInPandas(search, schema)
+    if buckets > 1:
+        counts = cells.where(F.exists("cell", F.isnotnull)).groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"))
+        # At most BDS_CELLS rows for each group.
+        counts = counts.groupBy(*keys).agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+        chunk = F.call_function("div", F.col("row_idx"), F.lit(bucket_rows).cast("long"))
+        asked = cells.groupBy(*keys, chunk.alias("_chunk")).agg(F.collect_list(F.struct("row_idx", "low", "high")).alias("asked"))
+
+        def whole(batches):
+            for batch in batches:
+                for r in batch.itertuples(index=False):
+                    frame = pd.DataFrame({"row_idx": [q["row_idx"] for q in r.asked]})
+                    for k, v in zip(keys, r[2:]):
+                        frame[k] = v
+                    low, high, cell = (np.array([[-1 if v is None or v != v else v for v in q[c]] for q in side], int) for side, c in ((r.asked, "low"), (r.asked, "high"), (r.cells, "cell")))
+                    known = low >= 0
+                    n = np.array([c["n"] for c in r.cells])
+                    for m in range(1, max_dim + 1):
+                        sums = np.zeros((buckets + 1,) * m, np.int64)
+                        there = (cell[:, :m] >= 0).all(1)
+                        np.add.at(sums, tuple(cell[there, s] + 1 for s in range(m)), n[there])
+                        for s in range(m):
+                            sums = sums.cumsum(axis=s)
+                        total = np.zeros(len(low), np.int64)
+                        for corner in range(1 << m):
+                            # Buckets below the upper end, less those up to the lower one.
+                            ends = [np.maximum(low[:, s] + 1, high[:, s]) if corner >> s & 1 else low[:, s] + 1 for s in range(m)]
+                            total += (-1) ** (m - corner.bit_count()) * sums[tuple(np.clip(v, 0, buckets) for v in ends)]
+                        frame[f"close{m}"] = np.where(known[:, :m].all(1), total, 0)
+                    yield frame[[*keys, "row_idx", *names]]
+
+        packed = asked.join(counts, keys).select("cells", "asked", *keys)
+        counted = counted.unionByName(packed.mapInPandas(whole, schema))
+    return counted.groupBy(*keys, "row_idx").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _close_before(rows: Column):
+    """Adds the earlier ones of ``rows`` that lie nearer than ``_eps`` to one."""
+    return lambda total, x: total + F.size(
+        F.filter(rows, lambda y: (y["row_idx"] < x["row_idx"]) & (F.abs(y["e"] - x["e"]) < F.col("_eps")))
+    ).cast("double")
+
+
+def bds(preds: DataFrame, max_dim: int = 3, distance: float = 1.5, keys: Sequence[str] = KEYS, bucket_rows: int = BDS_ROWS) -> DataFrame:
+    """BDS statistic for dimensions 2 to ``max_dim``. Its correlation integrals come
+    from :func:`close_counts`."""
     keys = list(keys)
     rows = with_row_index(residuals(preds).drop("row_idx", "n_rows"), keys=keys)
     spread = rows.groupBy(*keys).agg((F.stddev_samp("e") * F.lit(distance)).alias("eps"))
-    ahead = max_dim - 1
     w = block_window(keys)
     points = without_halo(
-        blocked(rows, ahead=ahead).withColumns({f"e{s}": F.lead("e", s).over(w) for s in range(1, max_dim)})
+        blocked(rows, ahead=max_dim - 1).withColumns({f"e{s}": F.lead("e", s).over(w) for s in range(1, max_dim)})
     )
     points = points.join(spread, keys).withColumn("e0", F.col("e"))
-    tile = F.floor(F.col("row_idx") / F.lit(float(BDS_TILE)))
-    last = F.floor((F.col("n_rows") - 1) / F.lit(float(BDS_TILE)))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), last))
-    points = points.select(*keys, "row_idx", "eps", *[f"e{s}" for s in range(max_dim)], tile.alias("_own"), other.alias("_other"))
-    points = points.withColumns({"_a": F.least("_own", "_other"), "_b": F.greatest("_own", "_other")})
-
-    sums = [f"c{m}" for m in range(1, max_dim + 1)] + [f"tail{m}" for m in range(2, max_dim + 1)]
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        a, b = group["_a"].iloc[0], group["_b"].iloc[0]
-        left, right = group[group["_own"] == a], group[group["_own"] == b]
-        eps = group["eps"].iloc[0]
-        i, j = left["row_idx"].to_numpy(), right["row_idx"].to_numpy()
-        before = i[:, None] < j[None, :]
-        counts = {}
-        close = np.ones(before.shape, dtype=bool)
-        first = None
-        for m in range(1, max_dim + 1):
-            x, y = left[f"e{m - 1}"].to_numpy(float), right[f"e{m - 1}"].to_numpy(float)
-            with np.errstate(invalid="ignore"):
-                near = np.abs(x[:, None] - y[None, :]) < eps
-            close &= near
-            first = near if m == 1 else first
-            counts[f"c{m}"] = int((close & before).sum())
-            if m > 1:
-                late = (i >= m - 1)[:, None] & (j >= m - 1)[None, :]
-                counts[f"tail{m}"] = int((first & before & late).sum())
-        # Neighbours of each row, itself included, for the triple count.
-        frames = [pd.DataFrame({"row_idx": i, "near": first.sum(axis=1)})]
-        if a != b:
-            frames.append(pd.DataFrame({"row_idx": j, "near": first.sum(axis=0)}))
-        out = pd.concat(frames, ignore_index=True)
-        for name in sums:
-            out[name] = 0
-            out.loc[0, name] = counts[name]
-        for k in keys:
-            out[k] = group[k].iloc[0]
-        return out[[*keys, "row_idx", "near", *sums]]
-
-    key_types = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
-    schema = f"{key_types}, row_idx long, near long, " + ", ".join(f"{s} long" for s in sums)
-    parts = points.groupBy(*keys, "_a", "_b").applyInPandas(compare, schema)
-    per_row = parts.groupBy(*keys, "row_idx").agg(F.sum("near").alias("r"), *[F.sum(s).alias(s) for s in sums])
-    total = per_row.groupBy(*keys).agg(
+    points = materialize(points.select(*keys, "row_idx", "eps", *[f"e{s}" for s in range(max_dim)]), "bds-points")
+    close = close_counts(points, max_dim, "eps", keys, bucket_rows).join(points.select(*keys, "row_idx", "eps", "e0"), [*keys, "row_idx"])
+    first = F.col("row_idx") < max_dim - 1
+    r = F.col("close1").cast("double")
+    total = close.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("r").cast("double").alias("sum_r"),
-        F.sum(F.col("r").cast("double") * F.col("r")).alias("sum_r2"),
-        *[F.sum(s).cast("double").alias(s) for s in sums],
+        F.sum(r).alias("sum_r"),
+        F.sum(r * r).alias("sum_r2"),
+        *[F.sum(F.col(f"close{m}").cast("double")).alias(f"_all{m}") for m in range(1, max_dim + 1)],
+        F.max("eps").alias("_eps"),
+        F.sort_array(F.collect_list(F.when(first, F.struct("row_idx", F.col("e0").alias("e"), r.alias("r"))))).alias("_first"),
     )
+    # A row counts itself once and each pair twice.
+    total = total.withColumns({f"c{m}": (F.col(f"_all{m}") - (F.col("n") - (m - 1))) / 2 for m in range(1, max_dim + 1)})
+    zero = F.lit(0.0)
+    for m in range(2, max_dim + 1):
+        head = F.slice("_first", 1, m - 1)
+        pairs_of = F.aggregate(head, zero, lambda a, x: a + x["r"] - 1.0)
+        inside = F.aggregate(head, zero, _close_before(head))
+        total = total.withColumn(f"tail{m}", F.col("c1") - pairs_of + inside)
     n = F.col("n").cast("double")
 
     def pairs(size: Column) -> Column:
