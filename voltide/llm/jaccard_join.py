@@ -147,8 +147,8 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met, held, held_ids, n_held, id_kind = Bands(percent), set(), [], [], 0, None
 
-        def batch_of(n: int, **columns) -> pa.RecordBatch:
-            arrays = [pa.array(columns[k], t or id_kind) if k in columns else pa.nulls(n, t or id_kind) for k, t in zip(names, kinds, strict=True)]
+        def batch_of(size: int, **columns) -> pa.RecordBatch:
+            arrays = [pa.array(columns[k], t or id_kind) if k in columns else pa.nulls(size, t or id_kind) for k, t in zip(names, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -156,7 +156,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
             ids = pa.array(held_ids, id_kind)
             for k in range(0, len(keys), 1 << 16):
                 part = slice(k, k + (1 << 16))
-                yield batch_of(len(keys[part]), id=ids.take(pa.array(at[part])), tile=keys[part].view(np.int64), kind=kind[part])
+                yield batch_of(len(keys[part]), id=ids.take(pa.array(at[part])).to_pylist(), tile=keys[part].view(np.int64), kind=kind[part])
 
         for batch in batches:
             id_kind = batch.schema.field("id").type
