@@ -214,6 +214,43 @@ def test_passages_reach_the_least_copy(spark):
     assert sorted(tuple(r) for r in S.shared_passages(d).collect()) == [(5, 30, 90, 3, 20, 80, 60), (7, 0, 70, 5, 120, 190, 70), (9, 0, 190, 5, 0, 190, 190)]
 
 
+@pytest.mark.parametrize("copies", [10, 60])
+def test_near_copies_meet_few_partners(spark, copies):
+    """Six changed words in 400: passages per document do not grow with the group,
+    and every copy is covered by what it shares with earlier ones."""
+    from voltide.llm import substring_dedup as S
+
+    rng = random.Random(12)
+    base, rows = [f"b{k}" for k in range(400)], []
+    for i in range(copies):
+        words = list(base)
+        for k in rng.sample(range(400), 6):
+            words[k] = f"x{i}n{k}"
+        rows.append((i, " ".join(words)))
+    d = spark.createDataFrame(doc_rows(rows), DOC_SCHEMA).repartition(3)
+    shared = {}
+    for r in S.shared_passages(d).collect():
+        shared.setdefault(r.doc_id, []).append(r)
+    assert sorted(shared) == list(range(1, copies))
+    assert sum(map(len, shared.values())) <= 2 * copies
+    for found in shared.values():
+        covered = set().union(*(range(r.start_word, r.end_word) for r in found))
+        assert len(covered) >= 0.95 * 400
+
+
+def test_partners_cover_what_each_holds(spark):
+    """Words held by two earlier documents in part keep both as partners."""
+    from voltide.llm import substring_dedup as S
+
+    at = np.arange(0, 71)
+    other = np.where(at <= 50, 1, 2)
+    parts = S.covering_partners(other, at, at + 1000 * other, np.ones(71, bool))
+    assert [set(other[p].tolist()) for p in parts] == [{1}, {2}]
+    assert sorted(np.concatenate(parts).tolist()) == list(range(71))
+    inside = S.covering_partners(np.array([1] * 71 + [2] * 3), np.concatenate([at, [10, 11, 12]]), np.concatenate([at, [10, 11, 12]]), np.ones(74, bool))
+    assert len(inside) == 1 and len(inside[0]) == 71
+
+
 def test_a_row_without_an_id_keeps_no_set_from_the_others(spark):
     from voltide.llm import jaccard_join as J
 

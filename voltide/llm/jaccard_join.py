@@ -63,12 +63,13 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(shingle_hashes(words[rows[r] : rows[r + 1]], size))
 
 
-def parity_bitmap(values: np.ndarray) -> bytes:
+def parity_bitmap(values: np.ndarray, wide: bool = False) -> bytes:
     """Bit i tells whether an odd number of values fall on i. There are more
     than half as many bits as values, so that unlike sets of any size differ in
     more bits than linked ones may; every tile of a set carries its bitmap, so
-    more bits than that would cost more than they save."""
-    bits = max(MIN_BITS, 1 << (len(values) // 2).bit_length())
+    more bits than that would cost more than they save there. A ``wide`` one has
+    eight times as many: pairs of sets that are still left look at these."""
+    bits = max(MIN_BITS, 1 << (len(values) // 2).bit_length()) * (8 if wide else 1)
     odd = np.bincount((values >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
@@ -138,11 +139,11 @@ def known_tiles(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """Per row: id, set size, digest and bitmap (where a task meets the digest for
-    the first time in a row with an id); and for the segment keys of these rows
+    """Per row: id, set size, digest and two bitmaps (where a task meets the digest
+    for the first time in a row with an id); and for the segment keys of these rows
     ``tile``, id and ``kind`` (see ``known_tiles``)."""
-    names = ["id", "n", "digest", "bitmap", "tile", "kind"]
-    kinds = [None, pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int8()]
+    names = ["id", "n", "digest", "bitmap", "wide", "tile", "kind"]
+    kinds = [None, pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int8()]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met, held, held_ids, n_held, id_kind = Bands(percent), set(), [], [], 0, None
@@ -160,7 +161,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
 
         for batch in batches:
             id_kind = batch.schema.field("id").type
-            sizes, digests, bitmaps = [], [], []
+            sizes, digests, bitmaps, wides = [], [], [], []
             ids = batch.column("id").to_pylist()
             for values, own in zip(shingle_sets(batch.column("text"), shingle), ids, strict=True):
                 sizes.append(len(values))
@@ -168,6 +169,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
                 new = digest is not None and own is not None and digest not in met
                 digests.append(digest)
                 bitmaps.append(parity_bitmap(values) if new else None)
+                wides.append(parity_bitmap(values, wide=True) if new else None)
                 if new:
                     met.add(digest)
                     held.append(bands.keys(values))
@@ -176,13 +178,13 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
                 if n_held > HELD_KEYS:
                     yield from flush()
                     held, held_ids, n_held = [], [], 0
-            yield batch_of(len(ids), id=ids, n=sizes, digest=digests, bitmap=bitmaps)
+            yield batch_of(len(ids), id=ids, n=sizes, digest=digests, bitmap=bitmaps, wide=wides)
         if held:
             yield from flush()
 
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = d.schema["id"].dataType.simpleString()
-    return d.mapInArrow(rows, f"id {kind}, n long, digest binary, bitmap binary, tile long, kind byte")
+    return d.mapInArrow(rows, f"id {kind}, n long, digest binary, bitmap binary, wide binary, tile long, kind byte")
 
 
 def tiles_of(sketches: DataFrame) -> DataFrame:
@@ -208,9 +210,10 @@ def tiles_of(sketches: DataFrame) -> DataFrame:
     return tiles
 
 
-def bitmaps_of(sketches: DataFrame) -> DataFrame:
+def bitmaps_of(sets: DataFrame, bitmap: str = "bitmap") -> DataFrame:
     """``id``, ``n``, ``bitmap`` of the set of each id that has one."""
-    return sketches.where(F.col("bitmap").isNotNull()).groupBy("id").agg(F.max(F.struct("n", "bitmap")).alias("s")).select("id", "s.*")
+    known = sets.where(F.col(bitmap).isNotNull()).groupBy("id").agg(F.max(F.struct("n", bitmap)).alias("s"))
+    return known.select("id", F.col("s.n").alias("n"), F.col(f"s.{bitmap}").alias("bitmap"))
 
 
 def least_pairs(tiles: DataFrame) -> DataFrame:
@@ -218,9 +221,9 @@ def least_pairs(tiles: DataFrame) -> DataFrame:
     return tiles.where("id <> least").select(F.col("least").alias("x"), F.col("id").alias("y")).distinct()
 
 
-def allowed_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose bitmaps leave room for enough overlap."""
-    marks = bitmaps_of(sketches)
+def allowed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide bitmaps leave room for enough overlap."""
+    marks = bitmaps_of(sets, "wide")
     side = lambda k: marks.select(F.col("id").alias(k), F.struct("n", "bitmap").alias(f"{k}_s"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,9 +237,9 @@ def allowed_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFr
     return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "x_s", "y_s").mapInArrow(check, pairs.schema)
 
 
-def candidates(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def candidates(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of tile members, not of one component, that the bitmaps allow."""
-    marks = bitmaps_of(sketches)
+    marks = bitmaps_of(sets)
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     other = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), F.col("block"))
@@ -296,24 +299,31 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Per row: id, ``n_shingles``, ``component_id`` (the least id linked with
     it, directly or not)."""
     sketches = materialize(sketch(docs, id_col, text_col, shingle, percent), "sketches")
-    of_rows = sketches.where("tile IS NULL")
-    first = materialize(of_rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "set-classes")
-    rows = materialize(of_rows.select("id", "n", "digest").join(first, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "set-rows")
-    rep = rows.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("rep").alias("rep"))
-
     tiles = tiles_of(sketches)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(tiles.select("id").distinct(), "id", "left_semi")
-    texts = materialize(texts.groupBy("id").agg(F.max("text").alias("text")), "tile-texts")
+    # The keys are most of that table and no longer needed.
+    sets = materialize(sketches.where("tile IS NULL").drop("tile", "kind"), "sets")
+    discard(sketches)
+    first = materialize(sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "set-classes")
+    rows = materialize(sets.select("id", "n", "digest").join(first, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "set-rows")
+    rep = rows.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("rep").alias("rep"))
     release(docs.sparkSession)
 
-    def by_rep(pairs: DataFrame) -> DataFrame:
-        ends = pairs.join(rep.select(F.col("id").alias("x"), F.col("rep").alias("u")), "x")
-        return ends.join(rep.select(F.col("id").alias("y"), F.col("rep").alias("v")), "y").select("u", "v")
+    def links_of(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs that are links, between representatives of equal sets."""
+        likely = materialize(allowed_pairs(pairs, sets, percent), f"{name}-pairs")
+        release(docs.sparkSession)
+        ids = likely.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
+        texts = materialize(texts.groupBy("id").agg(F.max("text").alias("text")), f"{name}-texts")
+        release(docs.sparkSession)
+        ends = linked(likely, texts, shingle, percent).join(rep.select(F.col("id").alias("x"), F.col("rep").alias("u")), "x")
+        links = materialize(ends.join(rep.select(F.col("id").alias("y"), F.col("rep").alias("v")), "y").select("u", "v"), f"{name}-links")
+        discard(likely, texts)
+        release(docs.sparkSession)
+        return links
 
     tried = materialize(least_pairs(tiles), "least-pairs")
-    likely = materialize(allowed_pairs(tried, sketches, percent), "likely-pairs")
-    release(docs.sparkSession)
-    links = materialize(by_rep(linked(likely, texts, shingle, percent)), "first-links")
+    links = links_of(tried, "first")
     found = materialize(connected_components(links), "first-components")
     release(docs.sparkSession)
 
@@ -321,10 +331,12 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labelled = labelled.join(found, labelled["rep"] == found["node"], "left").select("tile", "id", "n_members", F.coalesce("component", "rep").alias("component"))
     labelled = materialize(labelled.where("n_members > 2"), "labelled-tiles")
     open_tiles = labelled.groupBy("tile").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("tile")
-    rest = candidates(labelled.join(open_tiles, "tile", "left_semi"), sketches, percent).join(tried, ["x", "y"], "left_anti")
-    more = materialize(by_rep(linked(rest, texts, shingle, percent)), "more-links")
+    rest = materialize(candidates(labelled.join(open_tiles, "tile", "left_semi"), sets, percent), "open-pairs")
+    discard(labelled, tiles)
+    release(docs.sparkSession)
+    more = links_of(rest.join(tried, ["x", "y"], "left_anti"), "more")
     found = connected_components(links.union(more))
-    discard(first, sketches, tiles, texts, tried, likely, labelled, links, more)
+    discard(first, sets, tried, rest, links, more)
 
     out = rows.join(found, rows["rep"] == found["node"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
