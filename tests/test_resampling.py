@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltide.operators import comparison, metrics
+from voltide.plans import ranking
 from voltide.plans import resampling as R
 
 
@@ -55,6 +56,7 @@ def test_sums_and_areas_equal_brute_force(spark, panel, monkeypatch, method):
     size = 100
     monkeypatch.setattr(R, "BUCKET_ROWS", size)
     monkeypatch.setattr(R, "CHUNK_DRAWS", 350)
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 64)
     p, n_boot, seed = in_order(panel), 6, 11
     if method == "draws":
         w = drawn_weights(len(p), n_boot, seed, size)

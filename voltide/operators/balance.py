@@ -14,7 +14,7 @@ from voltide.plans.resampling import numbered_rows
 from voltide.operators.models import Model, fit_model
 from voltide.operators.metrics import auc, classification_metrics
 from voltide.operators.neighbours import neighbour_join, vectors
-from voltide.operators.prep import apply_prep, class_weights, fit_prep, with_weights
+from voltide.operators.prep import Prep, apply_prep, class_weights, fit_prep, with_weights
 from voltide.operators.splits import expanding_folds
 from voltide.session import discard, materialize
 from voltide.settings import CV_FOLDS, SEED
@@ -126,11 +126,13 @@ SAMPLERS = {"SMOTE": smote, "ADASYN": adasyn}
 SCORES = ("accuracy", "precision", "recall", "f1", "auc")
 
 
-def _fitted_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: Sequence[Model], strategy: str, neighbours: str):
+def _fitted_predictions(
+    train: DataFrame, test: DataFrame, prep: Prep, features: Sequence[str], label: str, models: Sequence[Model], strategy: str, neighbours: str
+):
     """Predictions of each model under one strategy, or the error of the sampler.
     Filled and scaled rows, and what a sampler makes of them, are written once
     for all models that share the scaling."""
-    prep, out, ready = fit_prep(train, features, label), {}, {}
+    out, ready = {}, {}
     for model in models:
         try:
             if strategy == "none":
@@ -169,11 +171,14 @@ def compare_balancing(
     for f in range(n_splits):
         here = folds.where(F.col("fold") == f)
         parts.append((f, here.where(F.col("role") == "train"), here.where(F.col("role") == "test")))
+    with ThreadPoolExecutor(threads) as pool:
+        preps = list(pool.map(lambda p: fit_prep(p[1], features, label), parts))
+    parts = [(*p, prep) for p, prep in zip(parts, preps)]
 
     def run(task):
-        (fold, train, held), strategy = task
+        (fold, train, held, prep), strategy = task
         done = []
-        for name, found in _fitted_predictions(train, held, features, label, models, strategy, neighbours).items():
+        for name, found in _fitted_predictions(train, held, prep, features, label, models, strategy, neighbours).items():
             if isinstance(found, str):
                 done.append((name, strategy, fold, found, None))
             else:

@@ -209,30 +209,30 @@ def feature_families(df: DataFrame) -> DataFrame:
 
 
 def causality_audit(
-    bars: DataFrame, fractions: Sequence[float] = (0.3, 0.6, 0.9), tolerance: float = 1e-9
+    bars: DataFrame, fractions: Sequence[float] = (0.3, 0.6, 0.9), tolerance: float = 1e-9, build=None
 ) -> DataFrame:
     """Recompute the features on prefixes of each series and compare the last
     row of each prefix with the row of the full computation.
 
-    Each prefix is a copy of the series under its own id, so full series and
-    prefixes go through one and the same feature pass."""
+    Each prefix is a copy of the raw bars under its own id: rows are numbered and
+    volumes filled anew on it, so whatever reaches past its end shows. ``build`` is
+    the feature pass to audit, from bars to features."""
     names = [*FEATURES, *HELPERS]
+    place = numbered(bars)
+    known = [c for c in bars.columns if c not in ("row_idx", "n_rows", "volume_ffill")]
     last = F.floor(F.col("n_rows") * F.col("fraction"))
-    copies = numbered(bars).withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in (*fractions, 1.0)])))
+    copies = place.withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in (*fractions, 1.0)])))
+    full = F.col("fraction") == 1.0
     cuts = F.array(*[F.floor(F.col("n_rows") * F.lit(float(f))) for f in fractions])
-    copies = copies.withColumn("_at_cut", F.array_contains(cuts, F.col("row_idx"))).where(
-        (F.col("fraction") == 1.0) | (F.col("row_idx") <= last)
-    )
-    copies = copies.withColumns(
-        {
-            "n_rows": F.when(F.col("fraction") == 1.0, F.col("n_rows")).otherwise(last + 1),
-            "_series": F.col("series_id"),
-            "series_id": F.concat_ws("|", "series_id", F.col("fraction").cast("string")),
-        }
-    )
-    at_cut = build_features(copies).where(
-        F.col("_at_cut") & ((F.col("fraction") == 1.0) | (F.col("row_idx") == F.col("n_rows") - 1))
+    copies = copies.where(full | (F.col("row_idx") <= last)).select(
+        *[c for c in known if c != "series_id"],
+        F.concat_ws("|", "series_id", F.col("fraction").cast("string")).alias("series_id"),
+        F.col("series_id").alias("_series"),
+        "fraction",
+        F.col("row_idx").alias("_place"),
+        F.when(full, F.array_contains(cuts, F.col("row_idx"))).otherwise(F.col("row_idx") == last).alias("_at_cut"),
     )
+    at_cut = (build or build_features)(copies).where("_at_cut").withColumn("row_idx", F.col("_place"))
     from_full = [F.max(F.when(F.col("fraction") == 1.0, F.col(c))).alias(f"full_{c}") for c in names]
     from_prefix = [F.max(F.when(F.col("fraction") < 1.0, F.col(c))).alias(f"prefix_{c}") for c in names]
     pairs = at_cut.groupBy(F.col("_series").alias("series_id"), "row_idx").agg(

@@ -32,6 +32,8 @@ from voltide.settings import SEED
 
 PIVOTS = 32
 TILE = 4096
+#: Training rows up to which pivots save nothing.
+SMALL = 2 * TILE
 NEIGHBOURS = 11
 #: Rows that an approximate search wants in a bucket.
 BUCKET_ROWS = 1024
@@ -134,6 +136,9 @@ def vectors(df: DataFrame, features: Sequence[str], label: str | None = None) ->
 
 def nearest_neighbours(queries: DataFrame, train: DataFrame, k: int, pivots: int = PIVOTS) -> DataFrame:
     """``(qid, tid, distance, y, rank)`` for tables of :func:`vectors`."""
+    if train.limit(SMALL + 1).count() <= SMALL:  # one cell; tiles of queries only
+        whole = lambda df: df.withColumn("cell", F.lit(0))
+        return _keep_best(_tile_top_k(whole(queries), whole(train), k), k)
     chosen = train.orderBy(F.md5(F.concat_ws(",", "id", F.lit(str(SEED)))), "id").limit(pivots)
     base = [r["v"] for r in chosen.select("v").collect()]
     t, q = _with_pivots(train, base), _with_pivots(queries, base)

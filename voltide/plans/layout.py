@@ -15,32 +15,51 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltide.session import materialize
 from voltide.settings import BLOCK_ROWS
 
 DAY_SECONDS = 86_400
 BLOCK = "_block"
 SPAN = "_span"
+#: Parts into which an overfull span is cut at a time.
+CUTS = 64
 
 
-def grain_of(df: DataFrame, keys: Sequence[str], date: str) -> int:
-    """Seconds between two bars: a day for dates, else the mean distance in
-    the densest series (one small aggregation, one number read)."""
-    if isinstance(df.schema[date].dataType, T.DateType):
-        return DAY_SECONDS
-    at = F.unix_seconds(F.col(date).cast("timestamp"))
-    spacing = (F.max(at) - F.min(at)) / F.nullif(F.count(at) - F.lit(1), F.lit(0))
-    mean = df.groupBy(*keys).agg(spacing.alias("_s")).agg(F.min("_s")).first()[0]
-    return max(1, int(mean or DAY_SECONDS))
+def with_span(df: DataFrame, keys: Sequence[str], date: str, grain_seconds: int | None = None) -> DataFrame:
+    """Add ``SPAN``: numbers that rise with the date and hold at most about
+    ``BLOCK_ROWS`` rows of a series each.
 
-
-def time_span(df: DataFrame, date: str, grain_seconds: int = DAY_SECONDS) -> Column:
-    """Calendar bucket of ``BLOCK_ROWS`` grains. With one bar per series and
-    grain a bucket cannot hold more than ``BLOCK_ROWS`` rows."""
+    With one bar per series and day (dates, or a grain given in seconds) a span is
+    ``BLOCK_ROWS`` grains of the calendar. Else each series gets spans of its own
+    width, for half as many rows on average; those that hold too many all the same,
+    by a count, are cut until they do not (or are a second wide). A series of few rows, however near
+    each other, thus has no say in the spans of another."""
+    keys = list(keys)
     if isinstance(df.schema[date].dataType, T.DateType):
-        grains = F.unix_date(F.col(date)).cast("long") * F.lit(DAY_SECONDS)
-    else:
-        grains = F.unix_seconds(F.col(date).cast("timestamp"))
-    return F.floor(grains / F.lit(float(grain_seconds * BLOCK_ROWS))).cast("long")
+        return df.withColumn(SPAN, F.floor(F.unix_date(F.col(date)) * F.lit(DAY_SECONDS) / F.lit(float((grain_seconds or DAY_SECONDS) * BLOCK_ROWS))).cast("long"))
+    at = F.unix_seconds(F.col(date).cast("timestamp"))
+    if grain_seconds is not None:
+        return df.withColumn(SPAN, F.floor(at / F.lit(float(grain_seconds * BLOCK_ROWS))).cast("long"))
+    half = F.lit(float(BLOCK_ROWS // 2))
+    series = df.groupBy(*keys).agg(F.min(at).alias("_first"), F.max(at).alias("_end"), F.count(F.lit(1)).alias("_rows"))
+    width = F.ceil((F.col("_end") - F.col("_first") + 1) / F.ceil(F.col("_rows") / half)).cast("long")
+    series = series.select(*keys, "_first", F.greatest(width, F.lit(1).cast("long")).alias("_width"))
+    series = materialize(series, "series-spans")
+    rows = df.join(series, keys).withColumn(SPAN, F.call_function("div", at - F.col("_first"), F.col("_width")))
+    rows = rows.withColumn("_first", F.col("_first") + F.col(SPAN) * F.col("_width"))
+    while True:
+        full = rows.where(F.col("_width") > 1).groupBy(*keys, SPAN).agg(F.count(F.lit(1)).alias("_n"))
+        full = materialize(full.where(F.col("_n") > BLOCK_ROWS).select(*keys, SPAN, F.lit(True).alias("_full")), "full-spans")
+        if full.isEmpty():
+            break
+        rows = rows.join(full, [*keys, SPAN], "left")
+        width = F.when(F.col("_full"), F.ceil(F.col("_width") / CUTS).cast("long")).otherwise(F.col("_width"))
+        part = F.when(F.col("_full"), F.call_function("div", at - F.col("_first"), F.col("_finer"))).otherwise(F.lit(0).cast("long"))
+        rows = rows.withColumn("_finer", width).withColumn("_part", part)
+        rows = rows.withColumns(
+            {"_first": F.col("_first") + F.col("_part") * F.col("_finer"), "_width": F.col("_finer"), SPAN: F.col(SPAN) * CUTS + F.col("_part")}
+        ).drop("_full", "_finer", "_part")
+    return rows.drop("_first", "_width")
 
 
 def with_row_index(
@@ -54,15 +73,12 @@ def with_row_index(
     """Add ``row_idx`` (0-based place in the series) and ``n_rows`` (its length).
 
     Rows are numbered inside calendar buckets and shifted by the number of
-    rows in earlier buckets, taken from a small aggregated table. A bucket spans
-    ``BLOCK_ROWS`` grains; without ``grain_seconds`` the grain is found by
-    ``grain_of``. For columns
-    in ``forward_fill`` a ``<name>_ffill`` column carries the last known value
+    rows in earlier buckets, taken from a small aggregated table (see
+    ``with_span``). For columns in ``forward_fill`` a ``<name>_ffill`` column carries the last known value
     across any distance.
     """
     keys, fills = list(keys), list(forward_fill)
-    grain = grain_seconds or grain_of(df, keys, date)
-    spans = df.withColumn(SPAN, time_span(df, date, grain))
+    spans = with_span(df, keys, date, grain_seconds)
     last_known = [
         F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col(date))).alias(f"_last_{c}")
         for c in fills

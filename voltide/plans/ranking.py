@@ -1,9 +1,10 @@
 """Ranks, running totals and exact quantiles without one task per group.
 
 Values are put in order-preserving buckets whose borders are approximate
-quantiles of all rows together. A bucket therefore holds a bounded share of
-the rows whatever the group sizes are. Totals per (group, bucket) form a small
-table; its running sums are added to running sums inside each bucket.
+quantiles of all rows together, from sketches that are merged in two levels; there
+are as many buckets as hold ``BUCKET_ROWS`` rows each. A bucket therefore holds a
+bounded number of rows whatever the group sizes are. Totals per (group, bucket)
+form a small table; its running sums are added to running sums inside each bucket.
 """
 
 from __future__ import annotations
@@ -13,19 +14,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256  # power of two
+#: Rows that a bucket is to hold, and most buckets (their borders are sent to all tasks).
+BUCKET_ROWS, MAX_BUCKETS = 4096, 1 << 13
+#: Size of a sketch (ranks are off by about 2 / size) and sketches merged at once.
+SKETCH_SIZE, SKETCH_GROUPS = 8192, 64
 BUCKET = "_bucket"
 
 
-def bucket_borders(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
-    """One row: the ``buckets - 1`` inner borders as an array."""
-    shares = [i / buckets for i in range(1, buckets)]
-    return df.agg(F.percentile_approx(F.col(value).cast("double"), shares, 10_000).alias("_borders"))
-
-
-def bucket_of(value: Column, borders: Column, buckets: int = BUCKETS) -> Column:
+def bucket_borders(df: DataFrame, value: str, rows: int | None = None) -> list[float]:
+    """The inner borders of the buckets. Tasks sketch their rows, groups of tasks
+    and then the groups are merged; one row is read. (Sketches are random: borders
+    must be read once, not planned into two branches of a query.)"""
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    part = df.select(F.col(value).cast("double").alias("_v"), group.alias("_g")).where(F.col("_v").isNotNull())
+    sketches = part.groupBy("_g").agg(F.kll_sketch_agg_double("_v", SKETCH_SIZE).alias("_s"))
+    one = sketches.agg(F.kll_merge_agg_double("_s", SKETCH_SIZE).alias("_s"), F.sum(F.kll_sketch_get_n_double("_s")).alias("_n"))
+    sketch, n = one.first()
+    buckets = min(-(-(n or 0) // (rows or BUCKET_ROWS)), MAX_BUCKETS)
+    if buckets < 2:
+        return []
+    shares = F.array(*[F.lit(k / buckets) for k in range(1, buckets)])
+    kept = df.sparkSession.createDataFrame([(bytes(sketch),)], "_s binary")
+    return sorted(set(kept.select(F.kll_sketch_get_quantile_double("_s", shares)).first()[0]))
+
+
+def bucket_of(value: Column, borders: Column, buckets: int) -> Column:
     """Number of borders below ``value``: a binary search over the array."""
-    steps = [buckets >> s for s in range(1, buckets.bit_length())]
+    steps = [1 << s for s in reversed(range(max(buckets - 1, 0).bit_length()))]
+    if not steps:
+        return F.lit(0)
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
@@ -33,14 +50,14 @@ def bucket_of(value: Column, borders: Column, buckets: int = BUCKETS) -> Column:
     )
 
 
-def with_bucket(df: DataFrame, value: str, buckets: int = BUCKETS, borders_from: DataFrame | None = None) -> DataFrame:
+def with_bucket(df: DataFrame, value: str, rows: int | None = None) -> DataFrame:
     """Add the bucket of ``value``; the one-row border table is broadcast."""
-    borders = bucket_borders(df if borders_from is None else borders_from, value, buckets)
-    return (
-        df.join(F.broadcast(borders))
-        .withColumn(BUCKET, bucket_of(F.col(value).cast("double"), F.col("_borders"), buckets))
-        .drop("_borders")
-    )
+    borders = bucket_borders(df, value, rows)
+    if not borders:
+        return df.withColumn(BUCKET, F.lit(0))
+    table = df.sparkSession.createDataFrame([(borders,)], "_borders array<double>")
+    found = bucket_of(F.col(value).cast("double"), F.col("_borders"), len(borders) + 1)
+    return df.join(F.broadcast(table)).withColumn(BUCKET, found).drop("_borders")
 
 
 def running_totals(
@@ -49,12 +66,11 @@ def running_totals(
     value: str,
     sums: Sequence[str],
     descending: bool = False,
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """For a table with one row per (group, value): ``cum_<s>`` = total of
     ``s`` up to and including the row, ``all_<s>`` = total of the group."""
     groups, order = list(groups), (lambda c: F.col(c).desc() if descending else F.col(c).asc())
-    spread = with_bucket(df, value, buckets)
+    spread = with_bucket(df, value)
     totals = spread.groupBy(*groups, BUCKET).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     whole = Window.partitionBy(*groups)
     before = whole.orderBy(order(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)

@@ -134,18 +134,17 @@ def bucket_draws(df: DataFrame, total: int, n_boot: int, seed: int) -> DataFrame
     return counts.groupBy("_b").agg(F.collect_list(F.struct("rep", "n")).alias("_draws"))
 
 
-def bucketed_rows(wide: DataFrame, columns: Sequence[str], n_boot: int, seed: int, method: str) -> tuple[DataFrame, int]:
+def bucketed_rows(wide: DataFrame, columns: Sequence[str], n_boot: int, seed: int, method: str) -> DataFrame:
     """One row for each bucket: ``_b``, ``_rows`` (place and columns) and, unless
-    Poisson, ``_draws``; and the number of all rows."""
+    Poisson, ``_draws``."""
     if method not in ("draws", "poisson"):
         raise ValueError("method must be 'draws' or 'poisson'")
     numbered = materialize(numbered_rows(wide).select("idx", *columns), "numbered-rows")
-    total = numbered.count()
     bucket = F.call_function("div", F.col("idx"), F.lit(BUCKET_ROWS).cast("long"))
     rows = numbered.groupBy(bucket.alias("_b")).agg(F.collect_list(F.struct((F.col("idx") % BUCKET_ROWS).alias("place"), *columns)).alias("_rows"))
     if method == "draws":
-        return rows.join(bucket_draws(wide, total, n_boot, seed), "_b"), total
-    return rows, total
+        return rows.join(bucket_draws(wide, numbered.count(), n_boot, seed), "_b")
+    return rows
 
 
 def weight_matrices(bucket: int, size: int, draws: tuple[np.ndarray, np.ndarray] | None, n_boot: int, seed: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -192,7 +191,7 @@ def weighted_sums(wide: DataFrame, terms: dict[str, Column], n_boot: int, seed:
     adds its buckets up first, so it shuffles one row for each replicate."""
     names = list(terms)
     values = wide.select("series_id", "date", *[t.cast("double").alias(c) for c, t in terms.items()])
-    rows, _ = bucketed_rows(values, names, n_boot, seed, method)
+    rows = bucketed_rows(values, names, n_boot, seed, method)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n_boot, len(names) + 1))
@@ -216,7 +215,7 @@ def replicate_aucs(wide: DataFrame, label: str, scores: Sequence[str], n_boot: i
     running sums over replicates alone. Buckets of scores are joined by the
     weights below them."""
     typed = wide.select("series_id", "date", F.col(label).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in scores])
-    rows, total = bucketed_rows(typed, ["_y", *scores], n_boot, seed, method)
+    rows = bucketed_rows(typed, ["_y", *scores], n_boot, seed, method)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,8 +234,7 @@ def replicate_aucs(wide: DataFrame, label: str, scores: Sequence[str], n_boot: i
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), side)), pa.array(s[at]), pa.array(y[at] == 1), pa.array(packed, pa.binary())], ["side", "score", "positive", "weights"])
 
     sent = materialize(rows.mapInArrow(weigh, "side long, score double, positive boolean, weights binary"), "score-weights")
-    buckets = 1 << max(0, (total // BUCKET_ROWS).bit_length())
-    dealt = with_bucket(sent, "score", buckets).repartition("side", BUCKET).sortWithinPartitions("side", BUCKET, "score")
+    dealt = with_bucket(sent, "score").repartition("side", BUCKET).sortWithinPartitions("side", BUCKET, "score")
 
     def area(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, score = None, None
