@@ -6,6 +6,7 @@ library defaults; they always read the whole tables.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from voltide.catalog.compare_queries import with_category
@@ -251,6 +252,55 @@ def _(spark, d):
     return econometric.garch_forecasts(*parts(spark, d), Y)
 
 
+GARCH_POINTS = ((1.0, 0.1, 0.8), (1.0, 0.02, 0.975), (0.5, 0.6, 0.3))
+
+
+@query(
+    "b5_garch_likelihood",
+    f"""WITH RECURSIVE {HIST}, x AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY date) AS t, 100 * log_ret AS x FROM hist WHERE log_ret IS NOT NULL),
+    st AS (SELECT series_id, avg(x) AS mu, var_samp(x) AS s2, count(*) AS n FROM x GROUP BY 1),
+    c AS (SELECT * FROM (VALUES {", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {g}::DOUBLE)" for a, b, g in GARCH_POINTS)}) v(level, alpha, beta)),
+    e AS (SELECT series_id, t, (x - mu) ** 2 AS e2, level, alpha, beta, level * s2 * (1 - alpha - beta) AS omega FROM x JOIN st USING (series_id), c),
+    rec AS (SELECT series_id, level, alpha, beta, 1 AS t, s2 AS v FROM st, c
+      UNION ALL SELECT rec.series_id, rec.level, rec.alpha, rec.beta, rec.t + 1, omega + rec.alpha * e2 + rec.beta * v
+      FROM rec JOIN e ON e.series_id = rec.series_id AND e.t = rec.t AND e.level = rec.level AND e.alpha = rec.alpha AND e.beta = rec.beta)
+    SELECT rec.series_id, rec.level, rec.alpha, rec.beta, {r('max(e.omega)', 'omega', 5)}, {r('sum(0.5 * (ln(2 * pi() * v) + e2 / v))', 'nll', 5)},
+      {r('max(v) FILTER (WHERE rec.t = n + 1)', 'next_variance', 5)}
+    FROM rec JOIN st ON st.series_id = rec.series_id
+    LEFT JOIN e ON e.series_id = rec.series_id AND e.t = rec.t AND e.level = rec.level AND e.alpha = rec.alpha AND e.beta = rec.beta GROUP BY 1, 2, 3, 4""",
+)
+def _(spark, d):
+    history, _ = parts(spark, d)
+    points = spark.createDataFrame(GARCH_POINTS, "level double, alpha double, beta double")
+    candidates = history.select("series_id").distinct().join(F.broadcast(points))
+    return tidy(econometric.garch_likelihood(econometric.garch_blocks(history), candidates), 5)
+
+
+@query(
+    "b4_arima_path",
+    f"""WITH RECURSIVE {HIST}, y AS (SELECT series_id, {Y} AS y, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) AS k FROM hist WHERE {Y} IS NOT NULL),
+    l AS (SELECT series_id, {", ".join(f"max(y) FILTER (WHERE k = {k}) AS y{k}" for k in range(1, 5))} FROM y GROUP BY 1),
+    n AS (SELECT series_id, count(*) AS n FROM split WHERE split = 'test' GROUP BY 1),
+    rec AS (SELECT series_id, n, CAST(0 AS BIGINT) AS t, y1 - y2 AS z1, y2 - y3 AS z2, y3 - y4 AS z3, (y1 - y2) / 10 AS u1, (y2 - y3) / 10 AS u2, y1 AS level FROM l JOIN n USING (series_id)
+      UNION ALL SELECT series_id, n, t + 1, 0.00001 + 0.4 * z1 - 0.2 * z2 + 0.1 * z3 + 0.3 * u1 + 0.1 * u2, z1, z2, 0, u1,
+        level + 0.00001 + 0.4 * z1 - 0.2 * z2 + 0.1 * z3 + 0.3 * u1 + 0.1 * u2 FROM rec WHERE t < n)
+    SELECT series_id, t - 1 AS row_idx, {r('level', 'y_pred')} FROM rec WHERE t > 0""",
+)
+def _(spark, d):
+    history, test = parts(spark, d)
+    back = Window.partitionBy("series_id").orderBy(F.desc("date"))
+    last = history.where(F.col(Y).isNotNull()).withColumn("k", F.row_number().over(back)).where("k <= 4")
+    last = last.groupBy("series_id").agg(*[F.max(F.when(F.col("k") == k, F.col(Y))).alias(f"y{k}") for k in range(1, 5)])
+    z = F.array(*[F.col(f"y{k}") - F.col(f"y{k + 1}") for k in range(1, 4)])
+    numbers = lambda *v: F.array(*[F.lit(x) for x in v])
+    fits = last.select(
+        "series_id", F.lit(0.00001).alias("const"), numbers(0.4, -0.2, 0.1).alias("ar"), numbers(0.3, 0.1).alias("ma"),
+        z.alias("last_z"), F.transform(z, lambda v: v / 10).alias("last_u"), F.col("y1").alias("last_y"),
+    )
+    steps = test.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_steps"))
+    return tidy(econometric.arima_path(fits.join(steps, "series_id")))
+
+
 # --- regimes --------------------------------------------------------------------------------
 
 
