@@ -236,7 +236,7 @@ def _(spark, d):
 
 @query("r8_balancing_comparison")
 def _(spark, d):
-    return balance.compare_balancing(split_table(spark, d), X, [models.logistic("l2"), models.boosting("classification", TREES)])
+    return balance.compare_balancing(split_table(spark, d), X, [models.logistic("l2"), models.boosting("classification", TREES)], n_splits=0)
 
 
 # --- econometric ---------------------------------------------------------------------------

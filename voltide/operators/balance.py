@@ -166,7 +166,7 @@ def compare_balancing(
         raise ValueError(f"unknown strategies {sorted(unknown)}")
     history = materialize(table.where(F.col("split") != "test").where(F.col(label).isNotNull()).drop("row_idx", "n_rows"), "history")
     test = materialize(table.where((F.col("split") == "test") & F.col(label).isNotNull()), "test")
-    folds = materialize(expanding_folds(history, n_splits), "folds")
+    folds = materialize(expanding_folds(history, n_splits), "folds") if n_splits else None
     parts = [(-1, history, test)]
     for f in range(n_splits):
         here = folds.where(F.col("fold") == f)
@@ -202,5 +202,6 @@ def compare_balancing(
     areas = auc(preds, keys).select(*keys, "auc")
     scores = classification_metrics(preds.where(F.col("part") < 0), keys[:2]).join(areas.where(F.col("part") < 0), keys[:2])
     over_folds = areas.where(F.col("part") >= 0).groupBy(*keys[:2]).agg(F.avg("auc").alias("cv_auc"))
+    # Without folds cv_auc is null.
     out = wanted.join(scores, keys[:2], "left").join(over_folds, keys[:2], "left")
     return out.select(*keys[:2], "cv_auc", *SCORES, "error")
