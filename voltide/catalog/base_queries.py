@@ -13,7 +13,7 @@ from voltide.plans.layout import with_row_index
 from voltide.session import scratch_path
 from voltide.settings import SEED
 from voltide.sources import bars as bar_files
-from voltide.sources import tables
+from voltide.sources import manifest, tables
 from voltide.sources.ticks import event_bars, flag_bars, supplier_bars
 
 OHLCV = ("open", "high", "low", "close", "volume")
@@ -83,6 +83,56 @@ def _(spark, d):
     return tidy(bars.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("close").alias("close")))
 
 
+#: Files of two layouts; one file is empty, one lacks a needed column.
+LAYOUTS = (RAW_COLUMNS, ("volume", "CLOSE", "date", "high", "Open", "low"))
+BROKEN = {"empty": (b"", "empty file"), "short": (b"Date,Open,High\n2001-01-02,1,2\n", "missing columns: low, close")}
+
+
+def named_files(spark, d):
+    """The raw bars as files named by their series, in two layouts, and the
+    broken files. Spark writes the rows; its part files only get their names."""
+    raw = raw_text(flag_bars(spark, d))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "named-files"))
+    fs = target.getFileSystem(conf)
+    fs.mkdirs(target)
+    for k, layout in enumerate(LAYOUTS):
+        names = {c.strip().lower(): c for c in raw.columns}
+        columns = [F.col(f"`{names[c.strip().lower()]}`").alias(c) for c in layout]
+        chosen = raw.where((F.col("series_id") == "N").cast("int") == k)
+        written = scratch_path(spark, "layout")
+        chosen.select("series_id", *columns).write.partitionBy("series_id").option("header", True).csv(written)
+        for i, status in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{written}/series_id=*/part-*"))):
+            series = status.getPath().getParent().getName().split("=", 1)[1]
+            fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(target, f"{series}.{k}{i}.us.txt"))
+    for name, (content, _) in BROKEN.items():
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(target, f"{name}.us.txt"))
+        out.write(content)
+        out.close()
+    return f"{target}/*.txt"
+
+
+@query(
+    "s2_files_by_own_header",
+    f"WITH {LOADED} SELECT lower(series_id) AS series_id, count(*) AS n_rows, {r('sum(open)', 'open')}, {r('sum(close)', 'close')}, {r('sum(volume)', 'volume')} FROM loaded GROUP BY 1",
+)
+def _(spark, d):
+    bars = manifest.read_files(spark, named_files(spark, d))
+    sums = [F.sum(c).alias(c) for c in ("open", "close", "volume")]
+    return tidy(bars.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"), *sums))
+
+
+@query(
+    "s2_file_manifest",
+    f"""WITH {FLAG} SELECT DISTINCT lower(series_id) AS series_id, CASE WHEN series_id = 'N' THEN 6 ELSE 7 END AS n_columns,
+      CAST(NULL AS VARCHAR) AS error FROM bars
+    UNION ALL SELECT * FROM (VALUES ('empty', CAST(NULL AS INTEGER), '{BROKEN["empty"][1]}'), ('short', 3, '{BROKEN["short"][1]}'))""",
+)
+def _(spark, d):
+    files = manifest.file_manifest(spark, named_files(spark, d))
+    return files.select("series_id", F.when(F.col("header").isNotNull(), F.size("header")).alias("n_columns"), "error").distinct()
+
+
 @query("s3_required_columns", f"WITH {FLAG} SELECT series_id, count(*) AS n_rows FROM bars GROUP BY 1")
 def _(spark, d):
     bars = bar_files.require_columns(bar_files.normalize_names(flag_bars(spark, d)))
@@ -214,6 +264,18 @@ def _(spark, d):
     return tidy(quality.qa_report(supplier_bars(spark, d)))
 
 
+@query(
+    "q6_qa_report_of_files",
+    f"""WITH {LOADED}
+    SELECT lower(series_id) AS series_id, count(*) AS n_rows, min(date) AS date_min, max(date) AS date_max, count(*) FILTER (WHERE high < low) AS n_high_lt_low,
+      count(*) FILTER (WHERE volume IS NULL) AS n_null_volume, CAST(NULL AS VARCHAR) AS error FROM loaded GROUP BY 1
+    UNION ALL SELECT v.*  FROM (VALUES {", ".join(f"('{n}', CAST(NULL AS BIGINT), CAST(NULL AS DATE), CAST(NULL AS DATE), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), '{e}')" for n, (_, e) in BROKEN.items())}) v""",
+)
+def _(spark, d):
+    report = manifest.qa_report_of_files(spark, named_files(spark, d))
+    return report.select("series_id", "n_rows", "date_min", "date_max", "n_high_lt_low", "n_null_volume", "error")
+
+
 @query(
     "q7_faulty_series",
     f"""WITH {QA} SELECT count(*) AS n_series, count(*) FILTER (

@@ -13,7 +13,7 @@ from voltide.catalog.compare_queries import with_category
 from voltide.catalog.inputs import BASELINES, FLAG, PREDS, SPLIT, clean_table, once, predictions, r, rr, tidy
 from voltide.catalog.registry import query
 from voltide.operators import (
-    balance, baselines, econometric, explain, metrics, models, neighbours, prep, regimes, search, splits, targets,
+    balance, baselines, econometric, explain, linear_search, metrics, models, neighbours, prep, regimes, search, splits, targets,
 )
 from voltide.operators.features import FAMILIES, FEATURES
 from voltide.session import materialize, scratch_path
@@ -415,6 +415,56 @@ def _(spark, d):
     return cv.trial_table()
 
 
+_MATRICES: dict[tuple, linear_search.LinearValidator] = {}
+
+
+def _linear(spark, d):
+    """Fold matrices, built by the first search of a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MATRICES:
+        folds = materialize(splits.expanding_folds(splits.history(split_table(spark, d)).drop("row_idx", "n_rows")))
+        _MATRICES[key] = linear_search.LinearValidator(folds, X, Y)
+    return _MATRICES[key].fresh()
+
+
+@query("g2_grid_search_linear")
+def _(spark, d):
+    cv = _linear(spark, d)
+    search.grid_search(cv, linear_search.LINEAR_GRID)
+    return cv.trial_table()
+
+
+@query("g3_random_search_linear")
+def _(spark, d):
+    cv = _linear(spark, d)
+    search.random_search(cv, linear_search.LINEAR_SPACE)
+    return cv.trial_table()
+
+
+@query("g4_bayesian_search_linear")
+def _(spark, d):
+    cv = _linear(spark, d)
+    search.bayesian_search(cv, linear_search.LINEAR_SPACE)
+    return cv.trial_table()
+
+
+@query("g5_genetic_search_linear")
+def _(spark, d):
+    cv = _linear(spark, d)
+    search.genetic_search(cv, linear_search.LINEAR_SPACE)
+    return cv.trial_table()
+
+
+@query("g6_search_comparison")
+def _(spark, d):
+    """All four searches at full size against the untuned elastic net."""
+    cv = _linear(spark, d)
+    search.grid_search(cv, linear_search.LINEAR_GRID)
+    for run in (search.random_search, search.bayesian_search, search.genetic_search):
+        run(cv, linear_search.LINEAR_SPACE)
+    return metrics.search_comparison(cv.trial_table(), cv.untuned())
+
+
 TRIALS = f"""{FLAG}, trials AS (SELECT series_id AS method, CAST(row_number() OVER (PARTITION BY series_id ORDER BY date) - 1 AS INT) AS i,
   close AS rmse FROM bars)"""
 

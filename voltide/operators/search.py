@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide.operators.metrics import regression_metrics
@@ -61,12 +61,19 @@ def boosting_model(**params) -> Model:
     return boosting("regression", **params)
 
 
+def trials_frame(spark: SparkSession, trials: Sequence[tuple]) -> DataFrame:
+    return spark.createDataFrame(list(trials), "method string, i int, params string, rmse double, seconds double")
+
+
 @dataclass
 class CrossValidator:
     """Mean fold RMSE of a candidate; preprocessing is refitted per fold (once
     for all candidates, as it does not depend on them).
 
-    ``folds`` must be a written table with ``fold`` and ``role``.
+    ``folds`` must be a written table with ``fold`` and ``role``. With
+    ``staged`` naming the number of boosting rounds, candidates that differ in
+    nothing else share one fit of the largest number: the errors after each
+    round come from one pass over the test rows.
     """
 
     folds: DataFrame
@@ -75,6 +82,7 @@ class CrossValidator:
     make: Callable[..., Model]
     n_splits: int = CV_FOLDS
     threads: int = 8
+    staged: str | None = None
     trials: list[tuple] = field(default_factory=list)
     _prep: dict[int, Prep] = field(default_factory=dict)
 
@@ -91,20 +99,48 @@ class CrossValidator:
         fitted = fit_model(self._part(fold, "train"), self.features, self.label, self.make(**params), prep=self._prep[fold])
         return regression_metrics(fitted.predict(self._part(fold, "test"))).first()["rmse"]
 
+    def staged_rmse(self, params: Params, rounds: Sequence[int], fold: int) -> list[float]:
+        """RMSE of the first ``rounds`` trees of one boosted fit."""
+        rows = self._part(fold, "train")
+        model = self.make(**{**params, self.staged: max(rounds)})
+        fitted = fit_model(rows, self.features, self.label, model, prep=self._prep[fold]).pipeline
+        test = self._part(fold, "test")
+        for stage in fitted.stages[:-1]:
+            test = stage.transform(test)
+        losses = fitted.stages[-1].evaluateEachIteration(test, "squared")
+        return [math.sqrt(losses[n - 1]) for n in rounds]
+
+    def _groups(self, batch: Sequence[Params]) -> list[list[int]]:
+        """Places of candidates that one fit serves."""
+        if self.staged is None:
+            return [[i] for i in range(len(batch))]
+        groups: dict[str, list[int]] = {}
+        for i, p in enumerate(batch):
+            rest = json.dumps({k: v for k, v in p.items() if k != self.staged}, sort_keys=True)
+            groups.setdefault(rest, []).append(i)
+        return list(groups.values())
+
     def score(self, method: str, batch: Sequence[Params]) -> list[float]:
-        """Evaluate a batch: all (candidate, fold) fits share one thread pool."""
+        """Evaluate a batch: all fits, one for each group of candidates and
+        fold, share one thread pool."""
         self.fit_preps()
-        jobs = [(p, f) for p in batch for f in range(self.n_splits)]
+        jobs = [(g, f) for g in self._groups(batch) for f in range(self.n_splits)]
 
         def run(job):
-            start = time.time()
-            return self.fold_rmse(*job), time.time() - start
-
+            start, (group, fold) = time.time(), job
+            if self.staged is None:
+                values = [self.fold_rmse(batch[group[0]], fold)]
+            else:
+                values = self.staged_rmse(batch[group[0]], [int(batch[i][self.staged]) for i in group], fold)
+            return values, (time.time() - start) / len(group)
+
+        found: list[list[tuple[float, float]]] = [[] for _ in batch]
         with ThreadPoolExecutor(self.threads) as pool:
-            results = list(pool.map(run, jobs))
+            for (group, _), (values, seconds) in zip(jobs, pool.map(run, jobs)):
+                for i, value in zip(group, values):
+                    found[i].append((value, seconds))
         scores = []
-        for i, params in enumerate(batch):
-            mine = results[i * self.n_splits : (i + 1) * self.n_splits]
+        for mine, params in zip(found, batch):
             scores.append(sum(r for r, _ in mine) / self.n_splits)
             number = sum(1 for t in self.trials if t[0] == method)
             self.trials.append((method, number, json.dumps(params, sort_keys=True), scores[-1], sum(s for _, s in mine)))
@@ -112,8 +148,7 @@ class CrossValidator:
 
     def trial_table(self) -> DataFrame:
         """One row per evaluation: ``method, i, params, rmse, seconds``."""
-        schema = "method string, i int, params string, rmse double, seconds double"
-        return self.folds.sparkSession.createDataFrame(self.trials, schema)
+        return trials_frame(self.folds.sparkSession, self.trials)
 
     def best(self, method: str) -> Params:
         return json.loads(min((t for t in self.trials if t[0] == method), key=lambda t: (t[3], t[1]))[2])
