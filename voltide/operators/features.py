@@ -8,6 +8,8 @@ whole feature table is computed in one blocked pass over the panel.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ MEAN_WINDOWS = (5, 10, 20)
 RSI_PERIOD = STOCHASTIC_PERIOD = ATR_PERIOD = 14
 BOLLINGER_PERIOD = 20
 BOLLINGER_WIDTH = 2.0
+# Rows of the narrow frames that all windows are multiples of.
+SHORT, LONG = 5, 7
 
 Columns = dict[str, Column]
 
@@ -31,8 +35,78 @@ def log_returns(w: WindowSpec) -> Columns:
     return {"log_ret": price - F.lag(price, 1).over(w)}
 
 
-def rolling_volatility(w: WindowSpec, windows: Sequence[int] = VOL_WINDOWS) -> Columns:
-    return {f"vol_{n}": rolling("log_ret", F.stddev_samp, w, n) for n in windows}
+def part_statistics(w: WindowSpec) -> Columns:
+    """Sums, means, variances and extremes of frames of ``SHORT`` and ``LONG`` rows.
+
+    Spark adds up a moving frame anew for each row, so wide frames are put together
+    from these narrow ones (``earlier_parts``). A part is null unless all its
+    values are known, and so is what is made of it."""
+    delta = F.col("_delta")
+    gain = F.coalesce(F.when(delta > 0, delta), F.lit(0.0))
+    loss = F.coalesce(F.when(delta < 0, -delta), F.lit(0.0))
+    return {
+        "_abs": rolling(F.abs("log_ret"), F.sum, w, SHORT),
+        "_range": rolling("hl_range", F.sum, w, SHORT),
+        "_ret": rolling("log_ret", F.sum, w, SHORT),
+        "_volume": rolling(F.col("volume").cast("double"), F.sum, w, SHORT),
+        "_close_mean": rolling("close", F.avg, w, SHORT),
+        "_close_var": rolling("close", F.var_samp, w, SHORT),
+        "_ret_mean": rolling("log_ret", F.avg, w, LONG),
+        "_ret_var": rolling("log_ret", F.var_samp, w, LONG),
+        "_gain": rolling(gain, F.sum, w, LONG),
+        "_loss": rolling(loss, F.sum, w, LONG),
+        "_low": rolling("low", F.min, w, LONG),
+        "_high": rolling("high", F.max, w, LONG),
+        "_tr": rolling("_true_range", F.sum, w, LONG),
+    }
+
+
+#: Rows of a part, and the most parts that a frame is put together from.
+PARTS = {
+    "_abs": (SHORT, 4), "_range": (SHORT, 4), "_ret": (SHORT, 4), "_volume": (SHORT, 2), "_close_mean": (SHORT, 4), "_close_var": (SHORT, 4),
+    "_ret_mean": (LONG, 4), "_ret_var": (LONG, 4), "_gain": (LONG, 2), "_loss": (LONG, 2), "_low": (LONG, 2), "_high": (LONG, 2), "_tr": (LONG, 2),
+}
+
+
+def earlier_parts(w: WindowSpec) -> Columns:
+    """``<part>_<k>``: the part that ends ``k`` parts before the row."""
+    return {f"{c}_{k}": F.lag(c, k * rows).over(w) for c, (rows, most) in PARTS.items() for k in range(1, most)}
+
+
+def in_parts(name: str, n: int) -> list[Column]:
+    """The parts of ``name`` that make up the last ``n`` rows."""
+    rows, most = PARTS[name]
+    if n % rows or n // rows > most:
+        raise ValueError(f"{n} rows of {name} are not up to {most} parts of {rows} rows")
+    return [F.col(name), *[F.col(f"{name}_{k}") for k in range(1, n // rows)]]
+
+
+def total(name: str, n: int) -> Column:
+    return reduce(lambda a, b: a + b, in_parts(name, n))
+
+
+def mean(name: str, n: int) -> Column:
+    return total(name, n) / F.lit(float(n))
+
+
+def deviation(values: str, n: int) -> Column:
+    """Sample deviation of ``n`` rows from means and variances of parts; exactly 0
+    where all values are equal."""
+    means, variances, rows = in_parts(f"{values}_mean", n), in_parts(f"{values}_var", n), PARTS[f"{values}_mean"][0]
+    if len(means) == 1:
+        return F.sqrt(variances[0])
+    inside = reduce(lambda a, b: a + b, variances) * F.lit(float(rows - 1))
+    between = reduce(lambda a, b: a + b, [(a - b) * (a - b) for a, b in combinations(means, 2)])
+    return F.sqrt((inside + between * F.lit(rows / len(means))) / F.lit(n - 1.0))
+
+
+def extreme(name: str, n: int, pick) -> Column:
+    parts = in_parts(name, n)
+    return F.when(reduce(lambda a, b: a & b, [p.isNotNull() for p in parts]), pick(*parts))
+
+
+def rolling_volatility(windows: Sequence[int] = VOL_WINDOWS) -> Columns:
+    return {f"vol_{n}": deviation("_ret", n) for n in windows}
 
 
 def return_lags(w: WindowSpec, lags: Sequence[int] = RETURN_LAGS) -> Columns:
@@ -43,8 +117,8 @@ def volatility_lags(w: WindowSpec, windows: Sequence[int] = VOL_WINDOWS, lags: S
     return {f"vol_{n}_lag{k}": F.lag(f"vol_{n}", k).over(w) for n in windows for k in lags}
 
 
-def absolute_return_means(w: WindowSpec, windows: Sequence[int] = MEAN_WINDOWS) -> Columns:
-    return {f"abs_ret_ma{n}": rolling(F.abs("log_ret"), F.avg, w, n) for n in windows}
+def absolute_return_means(windows: Sequence[int] = MEAN_WINDOWS) -> Columns:
+    return {f"abs_ret_ma{n}": mean("_abs", n) for n in windows}
 
 
 def bar_shape() -> Columns:
@@ -60,17 +134,17 @@ def volume_change(w: WindowSpec) -> Columns:
     return {"vol_change": ratio("volume_ffill", before) - F.lit(1.0)}
 
 
-def volume_level(w: WindowSpec) -> Columns:
-    mean = rolling("volume", F.avg, w, 10)
-    return {"vol_ma_10": mean, "vol_ratio_10": ratio(F.col("volume"), mean)}
+def volume_level() -> Columns:
+    level = mean("_volume", 10)
+    return {"vol_ma_10": level, "vol_ratio_10": ratio(F.col("volume"), level)}
 
 
-def range_means(w: WindowSpec, windows: Sequence[int] = MEAN_WINDOWS) -> Columns:
-    return {f"hl_range_ma{n}": rolling("hl_range", F.avg, w, n) for n in windows}
+def range_means(windows: Sequence[int] = MEAN_WINDOWS) -> Columns:
+    return {f"hl_range_ma{n}": mean("_range", n) for n in windows}
 
 
-def cumulative_returns(w: WindowSpec, windows: Sequence[int] = MEAN_WINDOWS) -> Columns:
-    return {f"cum_ret_{n}": rolling("log_ret", F.sum, w, n) for n in windows}
+def cumulative_returns(windows: Sequence[int] = MEAN_WINDOWS) -> Columns:
+    return {f"cum_ret_{n}": total("_ret", n) for n in windows}
 
 
 def volatility_ratios() -> Columns:
@@ -89,26 +163,23 @@ def price_step(w: WindowSpec) -> Columns:
     }
 
 
-def rsi(w: WindowSpec, period: int = RSI_PERIOD) -> Columns:
+def rsi(period: int = RSI_PERIOD) -> Columns:
     """Simple-mean RSI; null when the window has no loss."""
-    delta = F.col("_delta")
-    gain = rolling(F.coalesce(F.when(delta > 0, delta), F.lit(0.0)), F.avg, w, period)
-    loss = rolling(F.coalesce(F.when(delta < 0, -delta), F.lit(0.0)), F.avg, w, period)
-    return {f"rsi_{period}": F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + ratio(gain, loss))}
+    return {f"rsi_{period}": F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + ratio(mean("_gain", period), mean("_loss", period)))}
 
 
-def stochastic_k(w: WindowSpec, period: int = STOCHASTIC_PERIOD) -> Columns:
-    low, high = rolling("low", F.min, w, period), rolling("high", F.max, w, period)
+def stochastic_k(period: int = STOCHASTIC_PERIOD) -> Columns:
+    low, high = extreme("_low", period, F.least), extreme("_high", period, F.greatest)
     return {f"stoch_k_{period}": ratio((F.col("close") - low) * F.lit(100.0), high - low)}
 
 
-def bollinger_bandwidth(w: WindowSpec, period: int = BOLLINGER_PERIOD, width: float = BOLLINGER_WIDTH) -> Columns:
-    mean, std = rolling("close", F.avg, w, period), rolling("close", F.stddev_samp, w, period)
-    return {f"bb_bandwidth_{period}": ratio(F.lit(2.0 * width) * std, mean)}
+def bollinger_bandwidth(period: int = BOLLINGER_PERIOD, width: float = BOLLINGER_WIDTH) -> Columns:
+    level = total("_close_mean", period) / F.lit(float(period // SHORT))
+    return {f"bb_bandwidth_{period}": ratio(F.lit(2.0 * width) * deviation("_close", period), level)}
 
 
-def average_true_range(w: WindowSpec, period: int = ATR_PERIOD) -> Columns:
-    return {f"atr_{period}": rolling("_true_range", F.avg, w, period)}
+def average_true_range(period: int = ATR_PERIOD) -> Columns:
+    return {f"atr_{period}": mean("_tr", period)}
 
 
 def calendar() -> Columns:
@@ -150,17 +221,19 @@ def numbered(df: DataFrame) -> DataFrame:
 
 def feature_levels(w: WindowSpec) -> list[Columns]:
     return [
-        {**log_returns(w), **bar_shape(), **price_step(w), **volume_change(w), **volume_level(w), **calendar()},
+        {**log_returns(w), **bar_shape(), **price_step(w), **volume_change(w), **calendar()},
+        {**part_statistics(w), **return_lags(w)},
+        earlier_parts(w),
         {
-            **rolling_volatility(w),
-            **absolute_return_means(w),
-            **range_means(w),
-            **cumulative_returns(w),
-            **rsi(w),
-            **stochastic_k(w),
-            **bollinger_bandwidth(w),
-            **average_true_range(w),
-            **return_lags(w),
+            **rolling_volatility(),
+            **absolute_return_means(),
+            **volume_level(),
+            **range_means(),
+            **cumulative_returns(),
+            **rsi(),
+            **stochastic_k(),
+            **bollinger_bandwidth(),
+            **average_true_range(),
         },
         {**volatility_lags(w), **volatility_ratios()},
     ]
@@ -189,7 +262,8 @@ def build_features(bars: DataFrame, columns: Sequence[str] | None = None, ahead:
         panel = panel.withColumns(level)
     if extra is not None:
         panel = panel.withColumns(extra(w))
-    panel = without_halo(panel).drop("_delta", "_true_range", "volume_ffill")
+    helpers = [f"{c}_{k}" if k else c for c, (_, most) in PARTS.items() for k in range(most)]
+    panel = without_halo(panel).drop("_delta", "_true_range", "volume_ffill", *helpers)
     if columns is not None:
         panel = panel.select("series_id", "date", *columns)
     return tag_features(panel)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltide.functions.scalars import ratio
+from voltide.plans.ranking import column_quantiles
+from voltide.session import materialize
 
 PATTERNS = ("pat_doji", "pat_hammer", "pat_engulf_bull", "pat_engulf_bear")
 
@@ -155,21 +157,14 @@ STATISTICS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, extremes and exact quartiles of each column."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = long.unpivot([], list(columns), "column", "v").where(F.col("v").isNotNull())
-    # Exact quartiles keep a value -> count table per column, merged partially
-    # before the shuffle; counting equal values first keeps it small.
-    values = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    moments = long.groupBy("column").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    from voltide.plans.ranking import exact_quantiles
-
-    quartiles = exact_quantiles(values, ["column"], "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, weight="n")
+    columns = list(columns)
+    # Written, as the quartiles read it several times; only values near a quartile
+    # are then counted and ordered.
+    table = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "described")
+    kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    one = table.agg(*[F.struct(F.lit(c).alias("column"), *[f(c).alias(n) for n, f in kinds.items()]).alias(f"_{i}") for i, c in enumerate(columns)])
+    moments = one.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))]))).where(F.col("count") > 0)
+    quartiles = column_quantiles(table, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return moments.join(quartiles, "column").select("column", *STATISTICS)
 
 
