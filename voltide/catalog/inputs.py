@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from voltide.operators.baselines import walk_forward_predictions
 from voltide.operators.features import FEATURES, build_features
 from voltide.operators.targets import features_and_targets
-from voltide.session import scratch_path
+from voltide.session import materialize, scratch_path
 from voltide.sources.ticks import event_bars, flag_bars, supplier_bars
 
 DIGITS = 6
@@ -145,7 +145,8 @@ KNOWN = " AND ".join(f"{c} IS NOT NULL" for c in FEATURES)
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with all features and the main target: the modelling table,
     written once because several steps read it."""
-    table = features_and_targets(flag_bars(spark, sf_dir))
+    # The bars are read twice; the ticks behind them only once.
+    table = features_and_targets(materialize(flag_bars(spark, sf_dir), "flag-bars"))
     keep = ["series_id", "date", "log_ret", "vol_7", "vol_14", "vol_21", "vol_28", *FEATURES]
     keep += ["target_vol_7", "target_vol_14", "target_vol_21", "target_class"]
     return table.dropna(subset=[*FEATURES, "target_vol_7"]).select(*keep)
