@@ -44,7 +44,7 @@ from voltide.session import discard, materialize, release
 
 MIN_BITS = 512
 BAND_RATIO = 1.5
-TILE_BLOCK = 256
+TILE_BLOCK = 1024
 BATCH_BYTES = 8 << 20
 #: Segment keys that a task holds before it looks for those met twice.
 HELD_KEYS = 1 << 21
@@ -63,13 +63,15 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(shingle_hashes(words[rows[r] : rows[r + 1]], size))
 
 
-def parity_bitmap(values: np.ndarray, wide: bool = False) -> bytes:
-    """Bit i tells whether an odd number of values fall on i. There are more
-    than half as many bits as values, so that unlike sets of any size differ in
-    more bits than linked ones may; every tile of a set carries its bitmap, so
-    more bits than that would cost more than they save there. A ``wide`` one has
-    eight times as many: pairs of sets that are still left look at these."""
-    bits = max(MIN_BITS, 1 << (len(values) // 2).bit_length()) * (8 if wide else 1)
+def parity_bitmap(values: np.ndarray, wide: bool = False, percent: int = 90) -> bytes:
+    """Bit i tells whether an odd number of values fall on i. Unlike sets differ in
+    about half of the bits, and there are more than four times as many bits as linked
+    sets of this size may differ in, so hardly a pair of unlike sets passes; every
+    tile of a set carries its bitmap, so more bits than that would cost more than they
+    save there. A ``wide`` one has four times as many: pairs of sets that are still
+    left look at these."""
+    differ = 2 * len(values) * (100 - percent) // (100 + percent)
+    bits = max(MIN_BITS, 1 << (4 * differ).bit_length()) * (4 if wide else 1)
     odd = np.bincount((values >> U64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
@@ -154,6 +156,9 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, at, kind = known_tiles(np.concatenate(held), np.repeat(np.arange(len(held)), [len(k) for k in held]))
+            # The keys of a row together: files and shuffles hardly spend bytes on its id.
+            by_row = np.argsort(at, kind="stable")
+            keys, at, kind = keys[by_row], at[by_row], kind[by_row]
             ids = pa.array(held_ids, id_kind)
             for k in range(0, len(keys), 1 << 16):
                 part = slice(k, k + (1 << 16))
@@ -168,8 +173,8 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
                 digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
                 new = digest is not None and own is not None and digest not in met
                 digests.append(digest)
-                bitmaps.append(parity_bitmap(values) if new else None)
-                wides.append(parity_bitmap(values, wide=True) if new else None)
+                bitmaps.append(parity_bitmap(values, percent=percent) if new else None)
+                wides.append(parity_bitmap(values, wide=True, percent=percent) if new else None)
                 if new:
                     met.add(digest)
                     held.append(bands.keys(values))
@@ -222,9 +227,8 @@ def least_pairs(tiles: DataFrame) -> DataFrame:
 
 
 def allowed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose wide bitmaps leave room for enough overlap."""
-    marks = bitmaps_of(sets, "wide")
-    side = lambda k: marks.select(F.col("id").alias(k), F.struct("n", "bitmap").alias(f"{k}_s"))
+    """The pairs whose bitmaps leave room for enough overlap: first the narrow ones,
+    which are small enough to travel with every pair, then the wide ones."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,7 +238,11 @@ def allowed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             most = np.minimum((n + m - differ) // 2, np.minimum(n, m))
             yield batch.select(["x", "y"]).filter(pa.array((100 + percent) * most >= percent * (n + m)))
 
-    return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "x_s", "y_s").mapInArrow(check, pairs.schema)
+    for bitmap in ("bitmap", "wide"):
+        marks = bitmaps_of(sets, bitmap)
+        x, y = (marks.select(F.col("id").alias(k), F.struct("n", "bitmap").alias(f"{k}_s")) for k in "xy")
+        pairs = pairs.join(x, "x").join(y, "y").select("x", "y", "x_s", "y_s").mapInArrow(check, pairs.schema)
+    return pairs
 
 
 def candidates(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
