@@ -410,3 +410,20 @@ def test_pipeline_stages(spark):
     assert set(before[5]) == set(texts[4])
     for k, r in before[5].items():
         assert r.n_tokens == len(library.encode(texts[4][k]))
+
+
+@pytest.mark.parametrize("period", [12, 30])
+def test_repeats_inside_two_texts_are_told_once(spark, period):
+    """Texts that repeat a line share any two of its places; passages must not grow
+    with the square of the repeats, and all shared words stay told."""
+    from voltide.llm import substring_dedup as S
+
+    line = [f"w{k}" for k in range(period)]
+    repeats = {1: 40, 2: 35, 3: 20, 4: 44}
+    rows = [(i, " ".join([f"h{i}x{k}" for k in range(9)] + line * n + [f"t{i}x{k}" for k in range(9)])) for i, n in repeats.items()]
+    got = S.shared_passages(spark.createDataFrame(doc_rows(rows), DOC_SCHEMA)).collect()
+    told = {}
+    for r in got:
+        told.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert {i: len(v) for i, v in told.items()} == {i: period * repeats[i] for i in (2, 3, 4)}
+    assert len(got) <= 10
