@@ -427,3 +427,29 @@ def test_repeats_inside_two_texts_are_told_once(spark, period):
         told.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
     assert {i: len(v) for i, v in told.items()} == {i: period * repeats[i] for i in (2, 3, 4)}
     assert len(got) <= 10
+
+
+def test_changed_passages_reach_beyond_the_least_document(spark):
+    """Documents 2 and 3 share a passage with changes. The seeds of it lead to document
+    1, which holds them too, but far apart: the pair 3 and 2 must be found all the same."""
+    from voltide.llm import substring_dedup as S
+
+    rng = random.Random(21)
+    words = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(120)
+    changed = [w if k % 24 else f"new{k}" for k, w in enumerate(passage)]
+    apart = [w for k in range(0, 120, 24) for w in [*words(90), *passage[k + 1 : k + 24]]]
+    texts = {1: apart + words(40), 2: words(30) + passage + words(30), 3: words(9) + changed + words(50)}
+    d = spark.createDataFrame(doc_rows([(k, " ".join(t)) for k, t in texts.items()]), DOC_SCHEMA)
+    got = [tuple(r) for r in S.shared_passages(d).collect()]
+    assert len(got) == 1 and (got[0][0], got[0][3]) == (3, 2)
+    assert got[0][1] <= 10 and got[0][2] >= 9 + 116 and got[0][6] >= 110
+
+
+def test_seeds_apart_leave_their_words_to_other_partners():
+    from voltide.llm import substring_dedup as S
+
+    x = np.arange(0, 100, 20)
+    other, y = np.repeat([1, 2], 5), np.concatenate([x * 50, x + 7])
+    parts = S.covering_partners(other, np.concatenate([x, x]), y, np.zeros(10, bool))
+    assert sorted(int(other[p[0]]) for p in parts) == [1, 2]
