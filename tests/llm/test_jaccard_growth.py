@@ -34,3 +34,20 @@ def test_keys_of_a_row_stay_together(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     ids = [r["id"] for r in J.sketch(docs, "doc_id", "text", 3, 90).where("tile IS NOT NULL").select("id").collect()]
     assert len(ids) > 100 and ids == sorted(ids)
+
+
+def test_texts_that_no_pair_asks_for_are_not_shuffled(spark):
+    """Of 5000 texts 40 are wanted: these come, and hardly any other is shuffled."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in [*range(5000), 7, None]], "id long, text string")
+    ids = docs.where("id % 125 = 7").select("id").distinct()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = J.wanted_rows(docs, ids)
+        assert sorted(map(tuple, got.collect())) == sorted([(7, "text 7"), *((i, f"text {i}") for i in range(7, 5000, 125))])
+        assert got.columns == ["id", "text"] and J.wanted_rows(docs, ids.where("id < 0")).count() == 0
+        # The look at the bits comes before the shuffle.
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("getbit") and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -48,6 +48,8 @@ TILE_BLOCK = 1024
 BATCH_BYTES = 8 << 20
 #: Segment keys that a task holds before it looks for those met twice.
 HELD_KEYS = 1 << 21
+#: Words of 64 bits that tell which ids are wanted.
+ID_WORDS = 1 << 18
 #: What a task knows of a key and row.
 SINGLE, MARK, MEMBER = 0, 1, 2
 
@@ -288,6 +290,17 @@ def allowed(comps: np.ndarray, n: np.ndarray, words: np.ndarray, percent: int) -
     return np.concatenate(xs), np.concatenate(ys)
 
 
+def wanted_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is one of ``ids`` (distinct). Each of these sets a
+    bit of a table of fixed size that every task gets, so hardly a row that nobody
+    asks for is shuffled. (Spark would push a semi join below the look at the bits.)"""
+    h = F.xxhash64("id")
+    word, bit = F.pmod(h, F.lit(ID_WORDS)).alias("_word"), F.pmod(F.shiftright(h, 32), F.lit(64))
+    marks = ids.select(word, bit.cast("int").alias("_bit")).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    likely = docs.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.getbit("_bits", bit) == 1).select(docs.columns)
+    return likely.join(ids, "id").select(docs.columns)
+
+
 def linked(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose sets really overlap enough."""
     side = lambda k: texts.select(F.col("id").alias(k), F.col("text").alias(f"{k}_text"))
@@ -321,8 +334,8 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         likely = materialize(allowed_pairs(pairs, sets, percent), f"{name}-pairs")
         release(docs.sparkSession)
         ids = likely.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
-        texts = materialize(texts.groupBy("id").agg(F.max("text").alias("text")), f"{name}-texts")
+        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+        texts = materialize(wanted_rows(texts, ids).groupBy("id").agg(F.max("text").alias("text")), f"{name}-texts")
         release(docs.sparkSession)
         ends = linked(likely, texts, shingle, percent).join(rep.select(F.col("id").alias("x"), F.col("rep").alias("u")), "x")
         links = materialize(ends.join(rep.select(F.col("id").alias("y"), F.col("rep").alias("v")), "y").select("u", "v"), f"{name}-links")
